@@ -104,31 +104,17 @@ def distinct_counts(df: DataFrame, columns: list[str] | None = None, approximate
     """Distinct values of every non-string column, with the key and constant checks."""
     strings = set(text_columns(df))
     columns = columns or [c for c in df.columns if c not in strings]
-    if approximate:
-        wide = df.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            *[F.approx_count_distinct(c, 0.01).alias(f"d_{c}") for c in columns],
-        )
-        out = _long_form(wide, columns, n_distinct="d_")
-    else:
-        # One shuffle of (column, value) pairs that were already de-duplicated on the map side.
-        pairs = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-            for c in columns
-        ])).alias("p")).select("p.*")
-        counts = (
-            pairs.groupBy("column", "value").agg(F.lit(1).alias("_one"))
-            .groupBy("column").agg(F.count("value").alias("n_distinct"))
-        )
-        names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-        out = names.join(counts, "column", "left").withColumn(
-            "n_distinct", F.coalesce("n_distinct", F.lit(0).cast("bigint"))
-        )
-    n_rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return out.select(
-        "column", "n_distinct",
-        (F.col("n_distinct") == n_rows).alias("is_key"),
-        (F.col("n_distinct") <= 1).alias("is_constant"),
+    counter = (lambda c: F.approx_count_distinct(c, 0.01)) if approximate else F.count_distinct
+    wide = df.agg(
+        F.count(F.lit(1)).alias("n_rows"), *[counter(F.col(c)).alias(f"d_{c}") for c in columns]
+    )
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"d_{c}").alias("n_distinct")) for c in columns
+    ])
+    return wide.select("n_rows", F.explode(rows).alias("r")).select(
+        "r.column", "r.n_distinct",
+        (F.col("r.n_distinct") == F.col("n_rows")).alias("is_key"),
+        (F.col("r.n_distinct") <= 1).alias("is_constant"),
     )
 
 
