@@ -11,17 +11,45 @@ from cardwatch.operators.ordering import range_count
 SMALL_DICTIONARY = 10_000
 
 
-def dictionary(column: str, *tables: DataFrame) -> DataFrame:
-    """Codes 0, 1, 2, ... in alphabetical order over the non-null values of all tables."""
+def _values(column: str, tables) -> DataFrame:
     values = tables[0].select(F.col(column).cast("string").alias("value"))
     for table in tables[1:]:
         values = values.unionAll(table.select(F.col(column).cast("string").alias("value")))
-    values = values.where("value IS NOT NULL").distinct()
-    # limit + 1 makes the size check stop early on a large dictionary.
-    if values.limit(SMALL_DICTIONARY + 1).count() <= SMALL_DICTIONARY:
-        code = F.row_number().over(Window.orderBy("value")) - 1
-        return values.select("value", code.cast("int").alias("code"))
-    return _large_dictionary(values)
+    return values.where("value IS NOT NULL")
+
+
+def dictionaries(columns: list[str], *tables: DataFrame) -> dict[str, DataFrame]:
+    """Codes 0, 1, 2, ... in alphabetical order over the non-null values of all tables.
+
+    One pass finds the values of all columns. Its result is fetched only up to a fixed size; when
+    everything fits, the dictionaries are local tables whose size Spark knows when it plans the joins. Otherwise
+    each large column is numbered where it is.
+    """
+    limit = SMALL_DICTIONARY * len(columns)
+    pairs = None
+    for table in tables:
+        part = table.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+            for c in columns
+        ])).alias("p")).select("p.*")
+        pairs = part if pairs is None else pairs.unionAll(part)
+    found = pairs.where("value IS NOT NULL").distinct().limit(limit + 1).collect()
+    spark = tables[0].sparkSession
+    if len(found) <= limit:
+        out = {}
+        for c in columns:
+            ordered = sorted(r.value for r in found if r.column == c)
+            local = pd.DataFrame({"value": pd.Series(ordered, dtype=object),
+                                  "code": range(len(ordered))})
+            out[c] = spark.createDataFrame(local, "value string, code int")
+        return out
+    if len(columns) > 1:
+        return {c: dictionaries([c], *tables)[c] for c in columns}
+    return {columns[0]: _large_dictionary(_values(columns[0], tables).distinct())}
+
+
+def dictionary(column: str, *tables: DataFrame) -> DataFrame:
+    return dictionaries([column], *tables)[column]
 
 
 def _large_dictionary(values: DataFrame) -> DataFrame:
@@ -77,8 +105,7 @@ def encode_labels(
     train: DataFrame, test: DataFrame, columns: list[str], invalid: str = "error"
 ) -> tuple[DataFrame, DataFrame]:
     """Encode both tables with dictionaries fitted on their union."""
-    for column in columns:
-        codes = dictionary(column, train, test)
+    for column, codes in dictionaries(columns, train, test).items():
         train = apply_dictionary(train, column, codes, invalid)
         test = apply_dictionary(test, column, codes, invalid)
     return train, test

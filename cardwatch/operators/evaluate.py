@@ -82,24 +82,24 @@ def roc_curve(
     limits = quantile_limits(df, score, range_count(df))
     counts = _score_counts(df, label, score, by)
     ranked = running_totals(counts, "threshold", ["n0", "n1"], by=by, descending=True, limits=limits)
-    totals = counts.groupBy(*by).agg(F.sum("n0").alias("N0"), F.sum("n1").alias("N1"))
+    totals = counts.groupBy(*by).agg(F.sum("n0").alias("all0"), F.sum("n1").alias("all1"))
     if drop_collinear:
         ranked = _turning_points(ranked, by, limits)
     if by:
         same = F.lit(True)
         for b in by:
             same = same & F.col(b).eqNullSafe(F.col(f"_t_{b}"))
-        sized = ranked.join(totals.select(*[F.col(b).alias(f"_t_{b}") for b in by], "N0", "N1"), same)
+        sized = ranked.join(totals.select(*[F.col(b).alias(f"_t_{b}") for b in by], "all0", "all1"), same)
     else:
         sized = ranked.withColumn("_s", totals.agg(
-            F.struct(F.first("N0").alias("N0"), F.first("N1").alias("N1")).alias("s")).scalar()
-        ).select("*", "_s.N0", "_s.N1")
+            F.struct(F.first("all0").alias("all0"), F.first("all1").alias("all1")).alias("s")).scalar()
+        ).select("*", "_s.all0", "_s.all1")
     points = sized.select(
         *by, F.col("threshold").cast("double").alias("threshold"),
-        ratio(F.col("cum_n0"), F.col("N0")).alias("fpr"),
-        ratio(F.col("cum_n1"), F.col("N1")).alias("tpr"),
+        ratio(F.col("cum_n0"), F.col("all0")).alias("fpr"),
+        ratio(F.col("cum_n1"), F.col("all1")).alias("tpr"),
     )
-    origin = totals.where("N0 + N1 > 0").select(
+    origin = totals.where("all0 + all1 > 0").select(
         *by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return origin.unionByName(points)
@@ -227,11 +227,11 @@ def threshold_sweep(
     wide = counts.groupBy(*by).agg(*[
         F.coalesce(F.sum(F.when(reached > i, F.col(c))), F.lit(0)).alias(f"{c}_{i}")
         for i in range(len(steps)) for c in ("n1", "n0")
-    ], F.sum("n1").alias("N1"), F.sum("n0").alias("N0"))
+    ], F.sum("n1").alias("all1"), F.sum("n0").alias("all0"))
     cells = F.array(*[
-        F.struct(F.lit(t).alias("threshold"), (F.col("N0") - F.col(f"n0_{i}")).alias("tn"),
-                 F.col(f"n0_{i}").alias("fp"), (F.col("N1") - F.col(f"n1_{i}")).alias("fn"),
+        F.struct(F.lit(t).alias("threshold"), (F.col("all0") - F.col(f"n0_{i}")).alias("tn"),
+                 F.col(f"n0_{i}").alias("fp"), (F.col("all1") - F.col(f"n1_{i}")).alias("fn"),
                  F.col(f"n1_{i}").alias("tp"))
         for i, t in enumerate(steps)
     ])
-    return with_rates(wide.where("N1 IS NOT NULL").select(*by, F.explode(cells).alias("c")).select(*by, "c.*"))
+    return with_rates(wide.where("all1 IS NOT NULL").select(*by, F.explode(cells).alias("c")).select(*by, "c.*"))

@@ -54,7 +54,7 @@ def logistic(params: dict, n: int) -> LogisticRegression:
     return LogisticRegression(
         regParam=1.0 / (params.get("C", 1.0) * max(n, 1)),
         elasticNetParam=1.0 if params.get("penalty", "l2") == "l1" else 0.0,
-        standardization=False, maxIter=params.get("max_iter", 100), tol=1e-8,
+        standardization=False, maxIter=params.get("max_iter", 100), tol=params.get("tol", 1e-6),
     )
 
 

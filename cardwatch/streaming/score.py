@@ -35,11 +35,13 @@ def hourly_rate(
     Rows later than the delay are dropped and finished windows leave the state, so the state
     holds the open windows only. Counts combine on the map side before the shuffle.
     """
+    zoned = stream.withColumn(time, F.col(time).cast("timestamp"))  # watermarks need a zone
     return (
-        stream.withWatermark(time, delay)
+        zoned.withWatermark(time, delay)
         .groupBy(F.window(time, width).alias("w"))
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(flag) == 1).alias("n_flagged"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                F.col("w.end").cast("timestamp_ntz").alias("window_end"),
                 "n", "n_flagged", ratio(F.col("n_flagged"), F.col("n")).alias("rate"))
     )
 
