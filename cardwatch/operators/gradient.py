@@ -3,6 +3,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardwatch.functions.features import linear_score, sigmoid
@@ -34,6 +36,29 @@ def log_likelihood(
     )
 
 
+def _slopes(weights: np.ndarray):
+    """Task function: sum of error x feature per penalty and feature, over one partition.
+
+    A task returns penalties x features numbers, whatever its number of rows. As one matrix
+    product per Arrow batch it is also faster than as many generated sums, which outgrow what
+    the JVM compiles.
+    """
+    def partition(batches):
+        total = None
+        for batch in batches:
+            rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            y, x = rows[:, :1], rows[:, 1:]
+            error = y - 1.0 / (1.0 + np.exp(-(x @ weights.T)))
+            total = error.T @ x if total is None else total + error.T @ x
+        if total is not None:
+            i, j = (index.ravel() for index in np.indices(total.shape))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(i), pa.array(j), pa.array(total.ravel())], names=["i", "j", "slope"]
+            )
+
+    return partition
+
+
 def gradient_ascent(
     df: DataFrame,
     features: list[str],
@@ -45,34 +70,26 @@ def gradient_ascent(
 ) -> DataFrame:
     """(penalty, feature, coefficient) after a fixed number of full-batch steps from zero.
 
-    All penalties share each pass: an iteration is one aggregation over the data, and the driver
-    keeps only features x penalties numbers. The first feature is not penalised unless
-    ``unpenalised`` says otherwise.
+    All penalties share each pass over the data, and the driver keeps features x penalties
+    numbers. The first feature is not penalised unless ``unpenalised`` says otherwise.
     """
     free = set(features[:1] if unpenalised is None else unpenalised)
-    weights = {p: dict.fromkeys(features, 0.0) for p in penalties}
+    shrink = np.outer(penalties, [0.0 if c in free else 2.0 for c in features])
+    weights = np.zeros(shrink.shape)
     rows = df.select(F.col(label).cast("double").alias("_y"),
                      *[F.col(c).cast("double").alias(c) for c in features]).persist()
     try:
         for _ in range(iterations):
-            errors = rows.withColumns({
-                f"_e{i}": F.col("_y") - sigmoid(linear_score(weights[p]))
-                for i, p in enumerate(penalties)
-            })
-            sums = errors.agg(*[
-                F.sum(F.col(f"_e{i}") * F.col(c)).alias(f"g{i}_{j}")
-                for i in range(len(penalties)) for j, c in enumerate(features)
-            ]).first()
-            for i, p in enumerate(penalties):
-                for j, c in enumerate(features):
-                    slope = sums[f"g{i}_{j}"] or 0.0
-                    if c not in free:
-                        slope -= 2 * p * weights[p][c]
-                    weights[p][c] += step * slope
+            slopes = np.zeros(shrink.shape)
+            sums = rows.mapInArrow(_slopes(weights), "i bigint, j bigint, slope double")
+            for r in sums.groupBy("i", "j").agg(F.sum("slope").alias("slope")).collect():
+                slopes[r.i, r.j] = r.slope
+            weights = weights + step * (slopes - shrink * weights)
     finally:
         rows.unpersist()
     return df.sparkSession.createDataFrame(
-        [(float(p), c, weights[p][c]) for p in penalties for c in features],
+        [(float(p), c, float(weights[i, j])) for i, p in enumerate(penalties)
+         for j, c in enumerate(features)],
         "penalty double, feature string, coefficient double",
     )
 

@@ -578,7 +578,7 @@ def f_region(spark, folder):
 @query
 def f_interactions(spark, folder):
     rows = feat.add_interactions(_enriched(spark, folder))
-    return rounded(rows.select("id", *[c for c in rows.columns if "_x_" in c]), 4)
+    return rows.select("id", *[c for c in rows.columns if "_x_" in c])
 
 
 @query

@@ -392,7 +392,7 @@ def _missing(source: str, columns: dict[str, str]) -> str:
 
 def _quality() -> str:
     def row(name, source, columns, label):
-        rate = "avg(is_fraud)" if label else "NULL::DOUBLE"
+        rate = "avg(is_fraud)" if label else "avg(NULL::DOUBLE)"
         return f"""SELECT '{name}' AS dataset,
   CAST((SELECT sum(missing) FROM ({_missing(source, columns)})) AS BIGINT) AS missing_values,
   (SELECT (SELECT count(*) FROM {source}) - count(*) FROM (SELECT DISTINCT {', '.join(columns)} FROM {source})) AS duplicates,
@@ -596,8 +596,7 @@ FROM points, transactions GROUP BY point""", ["x", "density"], 9),
         "f_region": sql(f"{TX}, named AS (SELECT id, {codes}[cc_num % {n_codes} + 1] AS state FROM transactions)",
                         f"SELECT id, state, {_region(feat.REGIONS)} AS state_region, {_region(feat.CENSUS_REGIONS)} AS census_region FROM named"),
         "f_interactions": sql(FEAT, "SELECT id, " + ", ".join(
-            f"{a} * {b} AS {a}_x_{b}" for a, b in pair_names) + " FROM feat",
-            [f"{a}_x_{b}" for a, b in pair_names if a == "amt"], 4),
+            f"{a} * {b} AS {a}_x_{b}" for a, b in pair_names) + " FROM feat"),
         "f_sigmoid": sql(_scored_linear(), "SELECT id, fraud_probability AS p FROM scored", ["p"]),
         "f_risk": sql(SCORES, "SELECT id, model, CASE WHEN score < 0.3 THEN 'LOW' WHEN score < 0.7 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level FROM scores"),
         "f_composite": sql(TEST_RESULTS, f"SELECT model, score FROM ({COMPARISON})", ["score"]),

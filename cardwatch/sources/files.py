@@ -1,12 +1,12 @@
 """Reading transaction files and setting bad rows aside."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from cardwatch.schema import TRANSACTION
 
-CORRUPT = "_corrupt_record"
+CORRUPT, ERRORS = "_corrupt_record", "_errors"
 # Text formats of the source files.
 FILE_TIMESTAMP, FILE_DATE = "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"
 
@@ -65,27 +65,48 @@ def parse_failures(raw: DataFrame, parsed: DataFrame, columns: list[str], key: s
     ])).alias("r")).select("r.*")
 
 
+def _typed(name: str, kind: T.DataType) -> Column:
+    """The text column as its declared type, null where it does not parse."""
+    if isinstance(kind, T.StringType):
+        return F.col(name)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.try_to_timestamp(name, F.lit(FILE_TIMESTAMP)).cast(kind)
+    if isinstance(kind, T.DateType):
+        return F.try_to_timestamp(name, F.lit(FILE_DATE)).cast(kind)
+    return F.col(name).try_cast(kind)
+
+
 def read_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read CSV keeping rows that break the schema, their text in ``_corrupt_record``.
+    """Read CSV with a declared schema and name the fields of each row that break it.
 
-    Column pruning is off for this read: a pruned parser would not look at the unread columns
-    and pass their bad values as good.
+    Fields are read as text and converted here. A parser that converts by itself skips the
+    columns a query does not ask for, and would pass their bad values as good; the ``_errors``
+    column depends on every field whatever is selected later.
     """
-    with_text = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(with_text)
-        .options(
-            header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
-            columnPruning=False, timestampNTZFormat=FILE_TIMESTAMP, dateFormat=FILE_DATE,
-        )
+    texts = T.StructType([
+        *[T.StructField(f.name, T.StringType()) for f in schema], T.StructField(CORRUPT, T.StringType())
+    ])
+    raw = (
+        spark.read.schema(texts)
+        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
+                 columnPruning=False)
         .csv(path)
     )
+    errors = F.array_compact(F.array(
+        F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT)),
+        *[F.when(F.col(f.name).isNotNull() & _typed(f.name, f.dataType).isNull(), F.lit(f.name))
+          for f in schema if not isinstance(f.dataType, T.StringType)],
+    ))
+    fields = F.concat_ws(",", *[F.coalesce(f.name, F.lit("")) for f in schema])
+    return raw.select(
+        *[_typed(f.name, f.dataType).alias(f.name) for f in schema],
+        errors.alias(ERRORS), F.coalesce(CORRUPT, fields).alias(CORRUPT),
+    )
 
 
 def quarantine(checked: DataFrame, required: list[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Good rows, and bad rows with their text: broken values or missing required fields."""
-    absent = F.lit(False)
+    bad = F.size(ERRORS) > 0
     for c in required:
-        absent = absent | F.col(c).isNull()
-    bad = F.col(CORRUPT).isNotNull() | absent
-    return checked.where(~bad).drop(CORRUPT), checked.where(bad)
+        bad = bad | F.col(c).isNull()
+    return checked.where(~bad).drop(CORRUPT, ERRORS), checked.where(bad)
