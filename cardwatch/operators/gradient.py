@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardwatch.functions.features import linear_score, sigmoid
+from cardwatch.session import saved, sized
 
 # Step, iterations and penalties of the exploratory analysis.
 STEP_SIZE = 5e-6
@@ -77,7 +78,8 @@ def gradient_ascent(
     shrink = np.outer(penalties, [0.0 if c in free else 2.0 for c in features])
     weights = np.zeros(shrink.shape)
     rows = df.select(F.col(label).cast("double").alias("_y"),
-                     *[F.col(c).cast("double").alias(c) for c in features]).persist()
+                     *[F.col(c).cast("double").alias(c) for c in features])
+    rows = saved(sized(rows, rows.count()), "ascent").persist()
     try:
         for _ in range(iterations):
             slopes = np.zeros(shrink.shape)

@@ -25,6 +25,7 @@ from cardwatch.plans.pipeline import (
     MODEL_COLUMNS, assembler, fit_features, model_table, scaling_stages,
 )
 from cardwatch.schema import LABEL
+from cardwatch.session import saved, sized
 
 SEED = 42
 
@@ -142,8 +143,8 @@ def balance_rows(table: DataFrame, balance: str | None, columns: list[str] = MOD
     raise ValueError(f"unknown balance {balance!r}")
 
 
-def _head(kind: ModelKind, params: dict, rows: DataFrame, columns: list[str], label: str) -> Pipeline:
-    n = rows.count() if kind.scaled else 0
+def _head(kind: ModelKind, params: dict, rows: DataFrame, n: int, columns: list[str], label: str
+          ) -> Pipeline:
     classifier = kind.build(params, n)
     if "weight" in rows.columns:
         classifier = classifier.setWeightCol("weight")
@@ -163,7 +164,8 @@ def fit_table(kind: ModelKind, table: DataFrame, params: dict | None = None,
         balance = "weights"
     rows = balance_rows(table, balance, columns, label).persist()
     try:
-        return _head(kind, params, rows, columns, label).fit(rows)
+        n = rows.count()
+        return _head(kind, params, rows, n, columns, label).fit(sized(rows, n))
     finally:
         rows.unpersist()
 
@@ -218,19 +220,17 @@ def search(kind: ModelKind, table: DataFrame, points: list[dict], folds: int = 3
         [assembler(columns, "raw_features"), *scaling_stages(n, len(columns))] if kind.scaled
         else [assembler(columns)]
     )
-    rows = Pipeline(stages=stages).fit(folded).transform(folded).select(
+    matrix = Pipeline(stages=stages).fit(folded).transform(folded).select(
         "features", label, "fold", "weight", "unit_weight"
-    ).persist()
+    )
+    rows = saved(sized(matrix, n), "search")
     estimator = kind.build({}, n).setLabelCol(label).setFeaturesCol("features")
     in_fold = n * (folds - 1) // folds
-    try:
-        result = CrossValidator(
-            estimator=estimator, evaluator=evaluator, numFolds=folds, foldCol="fold",
-            estimatorParamMaps=[_param_map(kind, estimator, p, in_fold) for p in points],
-            parallelism=parallelism,
-        ).fit(rows)
-    finally:
-        rows.unpersist()
+    result = CrossValidator(
+        estimator=estimator, evaluator=evaluator, numFolds=folds, foldCol="fold",
+        estimatorParamMaps=[_param_map(kind, estimator, p, in_fold) for p in points],
+        parallelism=parallelism,
+    ).fit(rows)
     scored = sorted(
         zip(result.avgMetrics, range(len(points))), key=lambda s: (-s[0], s[1])
     )
@@ -263,25 +263,19 @@ def cross_validate(kind: ModelKind, table: DataFrame, params: dict | None = None
     The folds' fits run side by side; their validation scores form one table that is evaluated
     in one pass.
     """
-    folded = stratified_folds(table, folds, label, key).persist()
-    try:
-        def one(fold: int) -> DataFrame:
-            fit_rows, held_out = fold_split(folded, fold)
-            model = fit_table(kind, fit_rows.drop("fold"), params, balance, columns, label)
-            return predictions(model, held_out, [key, "fold"], label)
-
-        with ThreadPoolExecutor(max_workers=min(folds, 4)) as pool:
-            parts = list(pool.map(one, range(folds)))
-        scored = parts[0]
-        for part in parts[1:]:
-            scored = scored.unionByName(part)
-        rows = evaluate.full_metrics(scored, by=["fold"])
-        return table.sparkSession.createDataFrame(  # one row per fold
-            rows.withColumn("model", F.lit(kind.name)).collect(),
-            rows.withColumn("model", F.lit(kind.name)).schema,
-        )
-    finally:
-        folded.unpersist()
+    folded = saved(sized(stratified_folds(table, folds, label, key), table.count()), "folds")
+
+    def one(fold: int) -> DataFrame:
+        fit_rows, held_out = fold_split(folded, fold)
+        model = fit_table(kind, fit_rows.drop("fold"), params, balance, columns, label)
+        return predictions(model, held_out, [key, "fold"], label)
+
+    with ThreadPoolExecutor(max_workers=min(folds, 4)) as pool:
+        parts = list(pool.map(one, range(folds)))
+    scored = parts[0]
+    for part in parts[1:]:
+        scored = scored.unionByName(part)
+    return evaluate.full_metrics(scored, by=["fold"]).withColumn("model", F.lit(kind.name))
 
 
 def mean_scores(fold_metrics: DataFrame) -> DataFrame:
@@ -299,22 +293,19 @@ def train_all(transactions: DataFrame, test: DataFrame, kinds: list[ModelKind],
     """
     features = fit_features(transactions)
     spark = transactions.sparkSession
-    rows = balance_rows(model_table(features, transactions), balance).persist()
+    rows = saved(balance_rows(model_table(features, transactions), balance), "balanced")
     models, status, scored = {}, [], None
-    try:
-        for kind in kinds:
-            wanted = {**kind.params, **(params or {}).get(kind.name, {})}
-            if balance is not None:
-                wanted.pop("class_weight", None)
-            try:
-                head = fit_table(kind, rows, wanted)
-            except Exception as error:  # one model must not stop the others
-                status.append((kind.name, f"error: {error}"))
-                continue
-            models[kind.name] = PipelineModel(stages=[*features.stages, *head.stages])
-            status.append((kind.name, "ok"))
-    finally:
-        rows.unpersist()
+    for kind in kinds:
+        wanted = {**kind.params, **(params or {}).get(kind.name, {})}
+        if balance is not None:
+            wanted.pop("class_weight", None)
+        try:
+            head = fit_table(kind, rows, wanted)
+        except Exception as error:  # one model must not stop the others
+            status.append((kind.name, f"error: {error}"))
+            continue
+        models[kind.name] = PipelineModel(stages=[*features.stages, *head.stages])
+        status.append((kind.name, "ok"))
     for name, model in models.items():
         part = predictions(model, test).withColumn("model", F.lit(name))
         scored = part if scored is None else scored.unionByName(part)

@@ -60,3 +60,23 @@ def checkpointed(df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+#: Rows one task of an iterative fit should hold at least; below it, scheduling dominates.
+ROWS_PER_TASK = 100_000
+
+
+def sized(df, n: int):
+    """Merge the partitions of a table of n rows that are too small to be worth a task each."""
+    return df.coalesce(max(1, -(-n // ROWS_PER_TASK)))
+
+
+def saved(df, name: str = "table"):
+    """Write a table to the shared folder and read it back.
+
+    For rows an iterative fit reads many times: every task then carries the short plan of a file
+    scan instead of the whole lineage, and a lost executor costs a re-read, not a re-run.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
