@@ -65,12 +65,17 @@ def cyclic(function: str, column: str, period: int) -> str:
 
 
 def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    """Great-circle distance; the clamp keeps antipodal points from leaving asin's domain."""
+    """Great-circle distance; null and NaN inputs stay null and NaN.
+
+    The arc is taken with atan2, which unlike asin has no domain to leave at antipodal points.
+    """
     chord = (
         f"pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * "
         f"cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)"
     )
-    return f"2.0e0 * {EARTH_RADIUS_KM} * asin(least(1.0e0, sqrt({chord})))"
+    return (
+        f"2.0e0 * {EARTH_RADIUS_KM} * atan2(sqrt({chord}), sqrt(greatest(0.0e0, 1.0e0 - ({chord}))))"
+    )
 
 
 def region_of(state: str, regions=None) -> str:

@@ -32,6 +32,8 @@ def quantile_limits(df: DataFrame, column: str, ranges: int) -> list[float]:
 
 def with_range(df: DataFrame, column: str, limits: list[float], name: str = "_range") -> DataFrame:
     """Number of the range a value falls in; NaN sorts last, as in Spark's own order."""
+    if not limits:
+        return df.withColumn(name, F.lit(0))
     cut = Bucketizer(
         splits=[float("-inf"), *limits, float("inf")], inputCol="_cut", outputCol=name,
         handleInvalid="keep",

@@ -141,9 +141,8 @@ def describe(df: DataFrame, column: str, by: list[str] = ()) -> DataFrame:
     ])
     out = (
         moments.join(spread, by, "left") if by
-        else moments.withColumns({
-            c: spread.select(c).scalar() for c in ("p25", "p50", "p75")
-        })
+        else moments.withColumn("_q", spread.select(F.struct("p25", "p50", "p75")).scalar())
+        .select("*", "_q.*")
     )
     return out.select(*by, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 

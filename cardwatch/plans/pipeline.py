@@ -37,7 +37,14 @@ def feature_pipeline(invalid: str = "keep") -> Pipeline:
         inputCols=CATEGORICAL, outputCols=[f"{c}_code" for c in CATEGORICAL],
         stringOrderType="alphabetAsc", handleInvalid=invalid,
     )
-    return Pipeline(stages=[*sql_stages(TEMPORAL + DEMOGRAPHIC + GEOGRAPHIC), codes])
+    numeric = [c for c in FEATURES if c not in CATEGORICAL]
+    absent_as_zero = SQLTransformer(statement=(
+        f"SELECT * EXCEPT ({', '.join(numeric)}), "
+        + ", ".join(f"coalesce({c}, 0) AS {c}" for c in numeric) + " FROM __THIS__"
+    ))
+    return Pipeline(stages=[
+        *sql_stages(TEMPORAL + DEMOGRAPHIC + GEOGRAPHIC), absent_as_zero, codes,
+    ])
 
 
 def fit_features(train: DataFrame, *others: DataFrame, invalid: str = "keep") -> PipelineModel:
@@ -53,7 +60,7 @@ def model_table(
 ) -> DataFrame:
     """Encoded numeric columns in training order, whole numbers as integers."""
     return features.transform(df).select(*keep, *[
-        F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) if c in _WHOLE
+        F.col(c).cast("bigint") if c in _WHOLE
         else F.col(c).cast("double") for c in MODEL_COLUMNS
     ])
 

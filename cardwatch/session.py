@@ -32,20 +32,23 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a temporary folder; on a cluster a missing setting is
     an error, because a machine-local path would be lost with its executor.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="cardwatch-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if context.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="cardwatch-")
+        folder = _LOCAL_FOLDERS[context.applicationId]
     return folder.rstrip("/")
 
 
