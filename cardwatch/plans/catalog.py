@@ -17,7 +17,7 @@ from cardwatch.schema import (
 )
 from cardwatch.session import scratch_path
 from cardwatch.sources import files, store
-from cardwatch.sources.tables import read_table, split_of, transactions
+from cardwatch.sources.tables import SCHEMAS, split_of, transactions
 from cardwatch.streaming import score as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,11 +37,6 @@ COLLINEAR = ["amt", "city_pop", "trans_month", "trans_hour", "trans_weekday", "i
              "is_night", "age", "gender_encoded", "distance_km"]
 THRESHOLDS = [0.1, 0.3, 0.5, 0.7, 0.9]
 ASCENT_BASE = ["amt", "gender_flag", "city_pop", "trans_month", "trans_hour", "is_weekend", "age"]
-EVENT = T.StructType([
-    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
-])
 
 
 def query(function: Query) -> Query:
@@ -980,7 +975,7 @@ def d_stream_score(spark, folder):
         rows = events.withColumn("hour", F.hour("ts"))
         return scoring.score_linear(rows, {"value": 0.02, "hour": 0.05}, -2.0, ["event_id"])
 
-    source = stream.file_stream(spark, folder, EVENT, "events.parquet")
+    source = stream.file_stream(spark, folder, SCHEMAS["events"], "events.parquet")
     return rounded(stream.drain(stream.score_stream(source, scorer)))
 
 
@@ -994,7 +989,7 @@ def d_risk_summary(spark, folder):
 @query
 def d_stream_rate(spark, folder):
     """Share of high-value events per hour; hours the watermark has passed are final."""
-    source = stream.file_stream(spark, folder, EVENT, "events.parquet").withColumn(
+    source = stream.file_stream(spark, folder, SCHEMAS["events"], "events.parquet").withColumn(
         "flag", (F.col("value") > 100).cast("int")
     )
     return rounded(stream.drain(stream.hourly_rate(source, "ts", "flag")))

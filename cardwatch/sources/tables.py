@@ -8,8 +8,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+#: Declared schemas: nothing is read from the files before a query runs.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def transactions(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,7 +11,7 @@ from cardwatch.session import scratch_path
 
 
 def file_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet",
+    spark: SparkSession, folder: str, schema: T.StructType | str, pattern: str = "*.parquet",
     files_per_batch: int = 1000,
 ) -> DataFrame:
     """Parquet files of a folder as a stream; the schema is declared, never inferred."""
