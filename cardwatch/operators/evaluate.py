@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cardwatch.functions.checks import ratio, ratio_or_zero
 from cardwatch.functions.features import composite_score, display_name
 from cardwatch.operators.ordering import (
-    quantile_limits, range_count, running_totals, with_range,
+    keyed_ranges, quantile_limits, range_count, running_totals,
 )
 from cardwatch.operators.ranking import arg_max
 
@@ -82,48 +82,32 @@ def roc_curve(
     limits = quantile_limits(df, score, range_count(df))
     counts = _score_counts(df, label, score, by)
     ranked = running_totals(counts, "threshold", ["n0", "n1"], by=by, descending=True, limits=limits)
-    totals = counts.groupBy(*by).agg(F.sum("n0").alias("all0"), F.sum("n1").alias("all1"))
     if drop_collinear:
         ranked = _turning_points(ranked, by, limits)
-    if by:
-        same = F.lit(True)
-        for b in by:
-            same = same & F.col(b).eqNullSafe(F.col(f"_t_{b}"))
-        sized = ranked.join(totals.select(*[F.col(b).alias(f"_t_{b}") for b in by], "all0", "all1"), same)
-    else:
-        sized = ranked.withColumn("_s", totals.agg(
-            F.struct(F.first("all0").alias("all0"), F.first("all1").alias("all1")).alias("s")).scalar()
-        ).select("*", "_s.all0", "_s.all1")
-    points = sized.select(
+    points = ranked.select(
         *by, F.col("threshold").cast("double").alias("threshold"),
-        ratio(F.col("cum_n0"), F.col("all0")).alias("fpr"),
-        ratio(F.col("cum_n1"), F.col("all1")).alias("tpr"),
+        ratio(F.col("cum_n0"), F.col("all_n0")).alias("fpr"),
+        ratio(F.col("cum_n1"), F.col("all_n1")).alias("tpr"),
     )
-    origin = totals.where("all0 + all1 > 0").select(
+    origin = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(
         *by, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return origin.unionByName(points)
 
 
 def _turning_points(ranked: DataFrame, by: list[str], limits: list[float]) -> DataFrame:
-    cut = with_range(ranked, "threshold", limits)
+    cut = keyed_ranges(ranked, "threshold", limits, by)
     step = F.struct("n0", "n1")
-    heads = cut.groupBy(*by, "_range").agg(F.max_by(step, "threshold").alias("_head"))
-    down = Window.partitionBy(*by).orderBy(F.desc("_range"))  # one row per range
-    next_heads = heads.select(
-        *[F.col(b).alias(f"_by_{b}") for b in by], F.col("_range").alias("_at"),
-        F.lead("_head").over(down).alias("_next_head"),
-    )
-    same = F.col("_range") == F.col("_at")
-    for b in by:
-        same = same & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
-    inside = Window.partitionBy(*by, "_range").orderBy(F.desc("threshold"))
-    following = F.coalesce(F.lead(step).over(inside), F.col("_next_head"))
+    heads = cut.groupBy("_key").agg(F.max_by(step, "threshold").alias("_head"))
+    down = Window.partitionBy(*[f"_key.{b}" for b in by]).orderBy(F.desc("_key._range"))
+    next_heads = heads.select("_key", F.lead("_head").over(down).alias("_next_head"))
+    inside = Window.partitionBy("_key").orderBy(F.desc("threshold"))
     first = (F.col("cum_n0") == F.col("n0")) & (F.col("cum_n1") == F.col("n1"))
     keep = first | F.col("_next").isNull() | (F.col("_next") != step)
     return (
-        cut.join(next_heads, same).withColumn("_next", following).where(keep)
-        .drop("_range", "_at", "_next", "_next_head", *[f"_by_{b}" for b in by])
+        cut.withColumn("_lead", F.lead(step).over(inside)).join(next_heads, "_key")
+        .withColumn("_next", F.coalesce("_lead", "_next_head")).where(keep)
+        .drop("_key", "_range", "_lead", "_next", "_next_head")
     )
 
 

@@ -45,6 +45,15 @@ def with_range(df: DataFrame, column: str, limits: list[float], name: str = "_ra
     )
 
 
+def keyed_ranges(df: DataFrame, order: str, limits: list[float], by: list[str]) -> DataFrame:
+    """Add ``_range`` and the never-null ``_key`` (group, range).
+
+    Windows, totals and joins all use this one key, so the rows are shuffled once. A struct
+    compares null group values as equal, and no group, however large, shares a single key.
+    """
+    return with_range(df, order, limits).withColumn("_key", F.struct(*by, "_range"))
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -54,45 +63,39 @@ def running_totals(
     limits: list[float] | None = None,
     ties: list[str] = (),
 ) -> DataFrame:
-    """Add ``cum_<value>``: the inclusive prefix sum of each value along ``order`` within ``by``."""
+    """Add ``cum_<value>``, the inclusive prefix sum along ``order`` within ``by``, and
+    ``all_<value>``, the group's total."""
     by, ties = list(by), list(ties)
     if limits is None:
         limits = quantile_limits(df, order, range_count(df))
-    cut = with_range(df, order, limits)
-    per_range = cut.groupBy(*by, "_range").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
+    cut = keyed_ranges(df, order, limits, by)
+    per_range = cut.groupBy("_key").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
     direction = F.desc if descending else F.asc
-    before = (
-        Window.partitionBy(*by).orderBy(direction("_range"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    group = Window.partitionBy(*[f"_key.{b}" for b in by])
+    before = group.orderBy(direction("_key._range")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_range.select(
-        *[F.col(b).alias(f"_by_{b}") for b in by],
-        F.col("_range").alias("_at"),
+        "_key",
         *[F.coalesce(F.sum(f"_sum_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in values],
+        *[F.sum(f"_sum_{v}").over(group).alias(f"all_{v}") for v in values],
     )
     if not by:
         offsets = F.broadcast(offsets)  # at most MAX_RANGES + 1 rows of a few numbers
-    same = F.col("_range") == F.col("_at")
-    for b in by:
-        same = same & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
     inside = (
-        Window.partitionBy(*by, "_range")
-        .orderBy(direction(order), *[F.asc(t) for t in ties])
+        Window.partitionBy("_key").orderBy(direction(order), *[F.asc(t) for t in ties])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         cut.withColumns({f"_in_{v}": F.sum(v).over(inside) for v in values})
-        .join(offsets, same)
+        .join(offsets, "_key")
         .withColumns({f"cum_{v}": F.col(f"_off_{v}") + F.col(f"_in_{v}") for v in values})
-        .drop("_range", "_at", *[f"_by_{b}" for b in by],
-              *[f"{p}_{v}" for v in values for p in ("_off", "_in")])
+        .drop("_key", "_range", *[f"{p}_{v}" for v in values for p in ("_off", "_in")])
     )
 
 
 def dense_index(df: DataFrame, order: str, name: str = "rn", by: list[str] = ()) -> DataFrame:
     """Add 0, 1, 2, ... along a unique numeric column."""
     counted = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), order, ["_one"], by=by)
-    return counted.withColumn(name, F.col("cum__one") - 1).drop("_one", "cum__one")
+    return counted.withColumn(name, F.col("cum__one") - 1).drop("_one", "cum__one", "all__one")
 
 
 def exact_quantiles(
@@ -110,45 +113,26 @@ def exact_quantiles(
     limits = quantile_limits(present, "v", range_count(df))
     counted = present.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(counted, "v", ["n"], by=by, limits=limits)
-    totals = present.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"))
-    targets = totals.withColumn(
-        "q", F.explode(F.array(*[F.lit(float(q)) for q in fractions]))
-    ).withColumn("_pos", (F.col("_total") - 1) * F.col("q"))
-    targets = targets.withColumns({"_low": F.floor("_pos"), "_high": F.ceil("_pos")})
-    # One row per group and fraction: a handful, bounded by groups x fractions.
-    pairs = targets.select(
-        *[F.col(b).alias(f"_t_{b}") for b in by], "q", "_pos", "_low", "_high"
-    )
-    lists = pairs.groupBy(*[f"_t_{b}" for b in by]).agg(
-        F.collect_list(F.struct("q", "_pos", "_low", "_high")).alias("_wanted")
-    )
-    if by:
-        same = F.lit(True)
-        for b in by:
-            same = same & F.col(b).eqNullSafe(F.col(f"_t_{b}"))
-        reached = ranked.join(lists, same)
-    else:
-        reached = ranked.withColumn("_wanted", lists.scalar())
-    first = F.col("cum_n") - F.col("n")
 
     def holds(rank):
-        return (rank >= first) & (rank < F.col("cum_n"))
+        return (rank >= F.col("cum_n") - F.col("n")) & (rank < F.col("cum_n"))
 
-    hits = (
-        reached.withColumn(
-            "_wanted",
-            F.filter("_wanted", lambda w: holds(w["_low"]) | holds(w["_high"])),
+    def wanted(fraction):
+        position = (F.col("all_n") - 1) * F.lit(float(fraction))
+        return F.struct(
+            F.lit(float(fraction)).alias("q"), F.floor(position).alias("low"),
+            F.ceil(position).alias("high"), (position - F.floor(position)).alias("share"),
         )
-        .where(F.size("_wanted") > 0)
-        .select(*by, "v", "cum_n", "n", F.explode("_wanted").alias("w"))
-    )
-    share = F.col("w._pos") - F.col("w._low")
+
+    hits = ranked.withColumn("w", F.explode(F.filter(
+        F.array(*[wanted(q) for q in fractions]), lambda w: holds(w["low"]) | holds(w["high"])
+    )))
     return (
         hits.groupBy(*by, F.col("w.q").alias("q"))
         .agg(
-            F.min(F.when(holds(F.col("w._low")), F.col("v"))).alias("_a"),
-            F.max(F.when(holds(F.col("w._high")), F.col("v"))).alias("_b"),
-            F.first(share).alias("_share"),
+            F.min(F.when(holds(F.col("w.low")), F.col("v"))).alias("_a"),
+            F.max(F.when(holds(F.col("w.high")), F.col("v"))).alias("_b"),
+            F.first("w.share").alias("_share"),
         )
         .select(*by, "q", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share")).alias("value"))
     )

@@ -45,7 +45,7 @@ def stratified_folds(
     drawn = df.withColumns({"_u": uniform(key, seed), "_one": F.lit(1).cast("bigint")})
     counted = running_totals(drawn, "_u", ["_one"], by=[label], limits=limits, ties=[key])
     fold = F.pmod(F.col("cum__one") - 1, F.lit(k)).cast("int")
-    return counted.withColumn("fold", fold).drop("_u", "_one", "cum__one")
+    return counted.withColumn("fold", fold).drop("_u", "_one", "cum__one", "all__one")
 
 
 def fold_split(df: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
