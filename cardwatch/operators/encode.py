@@ -9,6 +9,8 @@ from cardwatch.operators.ordering import range_count
 
 #: Dictionaries up to this many values are numbered in one small task or kept as literals.
 SMALL_DICTIONARY = 10_000
+#: Ranges a larger dictionary is cut into; the sample that fixes them holds about 64 values each.
+MAX_TEXT_RANGES = 4096
 
 
 def _values(column: str, tables) -> DataFrame:
@@ -54,7 +56,7 @@ def dictionary(column: str, *tables: DataFrame) -> DataFrame:
 
 def _large_dictionary(values: DataFrame) -> DataFrame:
     """The same numbering for any size: cut by text ranges, offset by the ranges before."""
-    ranges = range_count(values)
+    ranges = min(range_count(values), MAX_TEXT_RANGES)
     wanted = 64 * ranges
     step = max(1, values.count() // wanted)
     # A hash-chosen sample of about 64 values per range fixes the limits, nothing else.

@@ -23,7 +23,7 @@ from cardwatch.session import checkpointed
 
 LEAF_SIZE = 2048
 MAX_LEAVES = 16384
-SAMPLE_PER_LEAF = 16
+SAMPLE_PER_LEAF = 8
 CHUNK_CELLS = 4_000_000
 
 

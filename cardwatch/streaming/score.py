@@ -35,13 +35,25 @@ def hourly_rate(
     Rows later than the delay are dropped and finished windows leave the state, so the state
     holds the open windows only. Counts combine on the map side before the shuffle.
     """
-    zoned = stream.withColumn(time, F.col(time).cast("timestamp"))  # watermarks need a zone
+    # Watermarks need an instant. A timestamp without a zone is counted from the epoch as it
+    # reads, so the windows do not move with the session's time zone.
+    wall = isinstance(stream.schema[time].dataType, T.TimestampNTZType)
+    if wall:
+        since = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {time})"
+        stream = stream.withColumn(time, F.expr(f"timestamp_micros({since})"))
+
+    def edge(name: str):
+        if not wall:
+            return F.col(name)
+        return F.expr(
+            f"timestampadd(MICROSECOND, unix_micros({name}), TIMESTAMP_NTZ'1970-01-01 00:00:00')"
+        )
+
     return (
-        zoned.withWatermark(time, delay)
+        stream.withWatermark(time, delay)
         .groupBy(F.window(time, width).alias("w"))
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(flag) == 1).alias("n_flagged"))
-        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        .select(edge("w.start").alias("window_start"), edge("w.end").alias("window_end"),
                 "n", "n_flagged", ratio(F.col("n_flagged"), F.col("n")).alias("rate"))
     )
 
