@@ -32,6 +32,10 @@ SEED = 42
 # Search grids, in the order their points are numbered.
 LOGISTIC_SEARCH = {"C": [0.01, 0.1, 1, 10], "penalty": ["l1", "l2"], "class_weight": ["balanced"]}
 LOGISTIC_GRID = {"C": [0.1, 1, 10, 100], "penalty": ["l1", "l2"]}
+BOOSTING_GRID = {
+    "n_estimators": [50, 100, 200], "max_depth": [3, 5, 7], "learning_rate": [0.01, 0.1, 0.2],
+    "subsample": [0.8, 1.0],
+}
 FOREST_SEARCH = {
     "n_estimators": [50, 100, 200], "max_depth": [3, 5, 7, 10, None],
     "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4],

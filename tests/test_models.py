@@ -108,6 +108,8 @@ def test_late_rows_are_dropped_from_hourly_rates(spark):
 def test_random_draws_and_caps():
     grid = training.FOREST_SEARCH
     assert len(training.grid_points(grid)) == 810
+    assert len(training.grid_points(training.BOOSTING_GRID)) == 54
+    assert len(training.grid_points(training.BOOSTING_SEARCH)) == 2916
     drawn = training.draw_points(grid, 20)
     assert len(drawn) == 20 and drawn == training.draw_points(grid, 20)
     assert training.draw_points(training.LOGISTIC_SEARCH, 10) == training.grid_points(training.LOGISTIC_SEARCH)
@@ -116,6 +118,9 @@ def test_random_draws_and_caps():
 
 def test_search_and_cross_validation(parts):
     table = pipeline.model_table(pipeline.fit_features(parts[0]), parts[0])
+    boosted = {"n_estimators": [2], "max_depth": [2, 3], "learning_rate": [0.1], "subsample": [0.8]}
+    report = training.grid_search(training.KINDS["gradient_boosting"], table, boosted, 2)[1]
+    assert report.count() == 2 and report.where("mean_score > 0.5").count() == 2
     kind = training.KINDS["decision_tree"]
     ranked, report = training.search(kind, table, [{"max_depth": 2}, {"max_depth": 5}], 2)
     assert report.count() == 2 and ranked[0]["max_depth"] in (2, 5)
