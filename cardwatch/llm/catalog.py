@@ -1,11 +1,13 @@
 """Queries of the subpackage and, where SQL can say it, the same as DuckDB SQL."""
 from __future__ import annotations
 
-from cardwatch.llm import urlfilter, warc
+from cardwatch.llm import langid, toxicity, urlfilter, warc
 
 CATALOG = {
+    "op5_language_codes": langid.op5_language_codes,
     "op7_warc_zip": warc.op7_warc_zip,
     "op8_url_filter": urlfilter.op8_url_filter,
+    "op10_toxicity_pu": toxicity.op10_toxicity_pu,
 }
 
 SQL = {

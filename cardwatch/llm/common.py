@@ -61,3 +61,51 @@ def csr_rows(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total) - np.repeat(ends - lengths - starts, lengths)
+
+
+# Words and hashes over whole byte arrays ----------------------------------------------------------
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: Bytes of words [0-9a-z] and every non-ASCII byte, after LOWER.
+ALNUM = np.zeros(256, bool)
+ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True
+#: Everything but space, tab, line feed, vertical tab, form feed and carriage return.
+VISIBLE = np.ones(256, bool)
+VISIBLE[[32, 9, 10, 11, 12, 13]] = False
+
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the odd base and of its inverse modulo 2^64, at least n of each."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = 1 << max(16, int(n - 1).bit_length())
+        _POWERS[:] = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _POWERS.append(np.multiply.accumulate(steps))
+    return _POWERS[0], _POWERS[1]
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of every span, equal for equal bytes wherever they stand."""
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every run of bytes of a kind, and the number of words of each text."""
+    inside = np.zeros(len(data) + 1, bool)
+    inside[:-1] = kind[data]
+    before = np.zeros(len(data) + 1, bool)
+    before[1:] = inside[:-1]
+    edge = np.zeros(len(data) + 1, bool)  # a text's first byte begins a word, its end ends one
+    edge[offsets] = True
+    starts = np.flatnonzero(inside & (~before | edge))
+    ends = np.flatnonzero(before & (~inside | edge))
+    return starts, ends, np.diff(np.searchsorted(starts, offsets))
