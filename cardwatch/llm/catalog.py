@@ -1,9 +1,11 @@
 """Queries of the subpackage and, where SQL can say it, the same as DuckDB SQL."""
 from __future__ import annotations
 
-from cardwatch.llm import langid, toxicity, urlfilter, warc
+from cardwatch.llm import decontaminate, langid, linededup, toxicity, urlfilter, warc
 
 CATALOG = {
+    "op3_line_dedup": linededup.op3_line_dedup,
+    "op4_fm_decontaminate": decontaminate.op4_fm_decontaminate,
     "op5_language_codes": langid.op5_language_codes,
     "op7_warc_zip": warc.op7_warc_zip,
     "op8_url_filter": urlfilter.op8_url_filter,
@@ -11,6 +13,8 @@ CATALOG = {
 }
 
 SQL = {
+    "op3_line_dedup": linededup.SQL,
+    "op4_fm_decontaminate": decontaminate.SQL,
     "op7_warc_zip": warc.SQL,
     "op8_url_filter": urlfilter.SQL,
 }

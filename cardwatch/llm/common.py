@@ -109,3 +109,13 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple
     starts = np.flatnonzero(inside & (~before | edge))
     ends = np.flatnonzero(before & (~inside | edge))
     return starts, ends, np.diff(np.searchsorted(starts, offsets))
+
+
+def row_key(*columns: Column) -> Column:
+    """128-bit key of a row's content; rows that are equal in these columns share it.
+
+    Results found per key are joined back without numbering rows, which a repeated task could do
+    differently.
+    """
+    parts = [p for c in columns for p in (c.isNull().cast("string"), F.coalesce(c.cast("string"), F.lit("")))]
+    return F.unhex(F.md5(F.concat_ws("\x1f", *parts)))

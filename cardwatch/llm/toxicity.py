@@ -90,7 +90,7 @@ def telling(feature: np.ndarray, on_positive: np.ndarray, positive: np.ndarray,
 
 
 def fit(feature: np.ndarray, n: np.ndarray, positive: np.ndarray, size: int, prior: float, epochs: int = 40,
-        rate: float = 0.02, decay: float = 5e-5, seed: int = 10) -> tuple[np.ndarray, float]:
+        rate: float = 0.02, decay: float = 2e-4, seed: int = 10) -> tuple[np.ndarray, float]:
     """Minimise the non-negative risk by Adam over blocks drawn from both kinds of rows."""
     draw, starts = np.random.default_rng(seed), np.cumsum(n) - n
     w, b, m, v, mb, vb, t = np.zeros(size), np.log(prior / (1 - prior)), np.zeros(size), np.zeros(size), 0.0, 0.0, 0
