@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.llm import bloom
 from cardwatch.llm.common import row_key, slices, table, text_bytes
+from cardwatch.session import saved
 
 LEAST_CHARS, LEAST_DOCS = 1, 10
 #: Stripped from a key's ends.
@@ -69,8 +70,10 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
     marked = docs.withColumn("_row", row_key(F.col(doc_id), F.col(text)))
     rows = marked.select("_row", F.col(doc_id).alias("_id"), F.col(text).alias("_text")).mapInArrow(
         suspects, f"_row binary, _id {kind}, _key binary")
-    many = (rows.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
-            .filter(F.col("_n") >= least_docs))
+    # both sides of the join below are files, so a key of very many rows can be split
+    rows = saved(rows, "suspects")
+    many = saved(rows.groupBy("_key").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+                 .filter(F.col("_n") >= least_docs), "repeated")
     stays = F.col("_id").eqNullSafe(F.col("_first")) if keep == "first" else F.lit(False)
     lost = (rows.join(many, "_key").groupBy("_row")
             .agg(F.collect_set(F.struct(F.col("_key").alias("key"), stays.alias("stays"))).alias("_lost")))
