@@ -1,7 +1,7 @@
 """Queries of the subpackage and, where SQL can say it, the same as DuckDB SQL."""
 from __future__ import annotations
 
-from cardwatch.llm import decontaminate, langid, linededup, toxicity, urlfilter, warc
+from cardwatch.llm import decontaminate, langid, linededup, suffixdedup, toxicity, urlfilter, warc
 
 CATALOG = {
     "op3_line_dedup": linededup.op3_line_dedup,
@@ -9,6 +9,7 @@ CATALOG = {
     "op5_language_codes": langid.op5_language_codes,
     "op7_warc_zip": warc.op7_warc_zip,
     "op8_url_filter": urlfilter.op8_url_filter,
+    "op9_suffix_dedup": suffixdedup.op9_suffix_dedup,
     "op10_toxicity_pu": toxicity.op10_toxicity_pu,
 }
 
@@ -17,4 +18,5 @@ SQL = {
     "op4_fm_decontaminate": decontaminate.SQL,
     "op7_warc_zip": warc.SQL,
     "op8_url_filter": urlfilter.SQL,
+    "op9_suffix_dedup": suffixdedup.SQL,
 }
