@@ -1,9 +1,10 @@
 """Queries of the subpackage and, where SQL can say it, the same as DuckDB SQL."""
 from __future__ import annotations
 
-from cardwatch.llm import decontaminate, langid, linededup, permindex, suffixdedup, toxicity, urlfilter, warc
+from cardwatch.llm import decontaminate, langid, linededup, permindex, pieces, suffixdedup, toxicity, urlfilter, warc
 
 CATALOG = {
+    "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_permutation_index": permindex.op2_permutation_index,
     "op3_line_dedup": linededup.op3_line_dedup,
     "op4_fm_decontaminate": decontaminate.op4_fm_decontaminate,

@@ -90,12 +90,23 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+class SpanHashes:
+    """64-bit hash of the elements of any span, equal for equal elements wherever they stand."""
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = _powers(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data + np.uint64(1)) * up[: len(data)], out=self.sums[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        x = self.sums[ends] - self.sums[starts]
+        x *= self.down[starts]
+        x += (ends - starts).astype(np.uint64)
+        return mixed(x)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of every span, equal for equal bytes wherever they stand."""
-    up, down = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return SpanHashes(data)(starts, ends)
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
