@@ -354,12 +354,16 @@ def expanded(ids: np.ndarray, edits: list[dict]) -> np.ndarray:
 
 def decoded(ids: np.ndarray, v: Vocabulary) -> bytes:
     """Bytes of the ids' text; the space in front of the first word is not part of it."""
-    return v.raw[csr_rows(v.raw_start[ids], v.raw_size[ids])].tobytes()[1:]
+    return _raw(ids, v)[1:]
+
+
+def _raw(ids: np.ndarray, v: Vocabulary) -> bytes:
+    return v.raw[csr_rows(v.raw_start[ids], v.raw_size[ids])].tobytes()
 
 
 def decode(encoded: DataFrame, v: Vocabulary, keep: list[str]) -> DataFrame:
     """The kept columns, text, n_pieces, and sha256 (of the ids as 4-byte little-endian numbers) and
-    same (restores that text) of every segmentation, best first. Null ids are no text (null)."""
+    same (its pieces spell that text) of every segmentation, best first. Null ids are no text (null)."""
     shared, k = encoded.sparkSession.sparkContext.broadcast(v), len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,7 +379,7 @@ def decode(encoded: DataFrame, v: Vocabulary, keep: list[str]) -> DataFrame:
                 for other in others or []:
                     changed = expanded(ids, other["edits"])
                     digest.append(hashlib.sha256(changed.tobytes()).hexdigest())
-                    own.append(decoded(changed, v) == raw)
+                    own.append(all(_raw(ids[e["at"]:e["at"] + e["count"]], v) == _raw(np.array(e["ids"]), v) for e in other["edits"]))
                 texts.append(raw.decode()), sizes.append(len(ids)), digests.append(digest), same.append(own)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:k], pa.array(texts, pa.string()), pa.array(sizes, pa.int64()),
