@@ -1,7 +1,7 @@
 """Queries of the subpackage and, where SQL can say it, the same as DuckDB SQL."""
 from __future__ import annotations
 
-from cardwatch.llm import decontaminate, langid, linededup, permindex, pieces, suffixdedup, toxicity, urlfilter, warc
+from cardwatch.llm import decontaminate, jaccard, langid, linededup, permindex, pieces, suffixdedup, toxicity, urlfilter, warc
 
 CATALOG = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -9,6 +9,7 @@ CATALOG = {
     "op3_line_dedup": linededup.op3_line_dedup,
     "op4_fm_decontaminate": decontaminate.op4_fm_decontaminate,
     "op5_language_codes": langid.op5_language_codes,
+    "op6_jaccard_join": jaccard.op6_jaccard_join,
     "op7_warc_zip": warc.op7_warc_zip,
     "op8_url_filter": urlfilter.op8_url_filter,
     "op9_suffix_dedup": suffixdedup.op9_suffix_dedup,
