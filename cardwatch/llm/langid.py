@@ -146,13 +146,14 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     import re
 
     letter, n = re.compile(r"[^\W\d_]"), len(keep)
+    place = keep.index(text) if text in keep else n
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bits x BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for part in slices(batch, n):
-                texts = part.column(n).to_pylist()
+            for part in slices(batch, place):
+                texts = part.column(place).to_pylist()
                 known = [i for i, t in enumerate(texts) if t and m.languages and letter.search(t)]
                 best, second = np.full(len(texts), -1), np.full(len(texts), -1)
                 score, close = np.zeros(len(texts)), np.zeros(len(texts), bool)
@@ -172,7 +173,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
                      pa.array(score), pa.array([name[i] for i in second], pa.string()), pa.array(close)],
                     names=[*part.schema.names[:n], "lang_pred", "score", "second", "ambiguous"])
 
-    rows = docs.select(*keep, F.col(text).alias("_text"))
+    rows = docs.select(*keep) if place < n else docs.select(*keep, F.col(text).alias("_text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     return rows.mapInArrow(run, f"{kept}, lang_pred string, score double, second string, ambiguous boolean")
 

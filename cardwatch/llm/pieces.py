@@ -313,12 +313,13 @@ def encode(docs: DataFrame, v: Vocabulary, keep: list[str], text: str = "text",
     fixed order. ``expanded`` gives the others' ids in full.
     """
     shared, k = docs.sparkSession.sparkContext.broadcast(v), len(keep)  # the vocabulary file's pieces
+    place = keep.index(text) if text in keep else k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared, n)
         for batch in batches:
-            for part in slices(batch, k, SLICE):
-                ids, sizes, best, others = encoder.encode([t or "" for t in part.column(k).to_pylist()])
+            for part in slices(batch, place, SLICE):
+                ids, sizes, best, others = encoder.encode([t or "" for t in part.column(place).to_pylist()])
                 lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(ids))
                 rows = [[{"score": (b - cost) / UNIT, "edits": [{"at": a, "count": c, "ids": list(x)} for a, c, x in edits]}
                          for cost, edits in own] for b, own in zip(best.tolist(), others)]
@@ -327,7 +328,8 @@ def encode(docs: DataFrame, v: Vocabulary, keep: list[str], text: str = "text",
                     names=[*part.schema.names[:k], "ids", "score", "others"])
 
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*keep).schema)
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, kept + ENCODED)
+    rows = docs.select(*keep) if place < k else docs.select(*keep, F.col(text).alias("_text"))
+    return rows.mapInArrow(run, kept + ENCODED)
 
 
 _OTHERS = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(pa.struct(
