@@ -8,6 +8,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cardwatch.llm import bloom
 from cardwatch.llm.common import row_key, slices, table, text_bytes
@@ -100,7 +101,7 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(n), pa.array(dropped)],
                                                  names=[*part.schema.names[:-1], "n_lines", "n_dropped"])
 
-    schema = docs.schema.add("n_lines", "long").add("n_dropped", "long")
+    schema = StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
     return joined.mapInArrow(cut, schema)
 
 
