@@ -14,7 +14,20 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 18
 
 
+#: Rows of an Arrow batch between Spark and Python: texts are long, and a batch is held on both sides.
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark) -> None:
+    """Set the session's Arrow batches to BATCH_ROWS, if they are larger."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= int(BATCH_ROWS):
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def table(spark, folder: str, name: str) -> DataFrame:
+    """A table of a folder, for operators that read texts."""
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

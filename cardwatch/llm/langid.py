@@ -113,6 +113,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
         x[i, at] = n
     x[:, 0] = 0
     x /= np.maximum(x.sum(1, keepdims=True), 1)
+    used = np.flatnonzero(x.any(0))
+    x = x[:, used]
     scale = 1 / np.maximum(np.sqrt((x * x).mean(0)), 1e-4)
     x *= scale
     signs = codes[[languages.index(v) for v in sample["lang"]]].astype(np.float32)
@@ -121,7 +123,9 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     right = ((x[held] @ w + b) * signs[held] > 0).mean(0)
     trust = np.log((right + 0.01) / (1.01 - right)).clip(0.05)
     w, b = _fit_bits(x, signs)
-    return Model(languages, codes, (w * scale[:, None]).T.copy(), b, trust / trust.sum())
+    weights = np.zeros((len(b), BUCKETS))
+    weights[:, used] = (w * scale[:, None]).T
+    return Model(languages, codes, weights, b, trust / trust.sum())
 
 
 def losses(model: Model, texts: list[bytes]) -> np.ndarray:

@@ -31,7 +31,7 @@ UNIT = 1_000_000
 #: Nats by which a byte of a character without a piece is worse than the worst piece.
 PENALTY = 10
 #: Distinct words a worker remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 #: New words whose lattices are solved together.
 TOGETHER = 4000
 SLICE = 1 << 19
