@@ -13,10 +13,6 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return column.isNull()
 
 
-def nan_to_null(df: DataFrame, name: str) -> Column:
-    return F.when(~is_missing(df, name), F.col(name))
-
-
 def ratio(top: Column, bottom: Column) -> Column:
     """Quotient as a double, null when the bottom is zero (ANSI mode raises on a plain `/`)."""
     return F.try_divide(top.cast("double"), bottom.cast("double"))
@@ -35,10 +31,5 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return columns_of(df, T.NumericType)
 
 
-def non_numeric_columns(df: DataFrame) -> list[str]:
-    numeric = set(numeric_columns(df))
-    return [c for c in df.columns if c not in numeric]
-
-
 def text_columns(df: DataFrame) -> list[str]:
     return columns_of(df, T.StringType)

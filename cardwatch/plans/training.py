@@ -48,6 +48,8 @@ BOOSTING_SEARCH = {
 }
 # The largest forest that is trained after a search.
 MAX_TREES, MAX_DEPTH = 100, 10
+#: The deepest tree Spark fits; a search point without a depth gets it, only the refit is capped.
+UNLIMITED_DEPTH = 30
 
 
 def logistic(params: dict, n: int) -> LogisticRegression:
@@ -66,7 +68,7 @@ def logistic(params: dict, n: int) -> LogisticRegression:
 def forest(params: dict, n: int = 0) -> RandomForestClassifier:
     share = params.get("max_features", "sqrt")
     return RandomForestClassifier(
-        numTrees=params.get("n_estimators", 100), maxDepth=params.get("max_depth") or MAX_DEPTH,
+        numTrees=params.get("n_estimators", 100), maxDepth=params.get("max_depth") or UNLIMITED_DEPTH,
         minInstancesPerNode=params.get("min_samples_leaf", 1), featureSubsetStrategy=str(share),
         maxBins=params.get("max_bins", 64), seed=SEED,
     )

@@ -44,13 +44,22 @@ def rename_first(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("_c0", "id")
 
 
+def _wall_clock(text: Column) -> Column:
+    """Text in FILE_TIMESTAMP's form as a timestamp without zone, null otherwise. Never by way of an
+    instant: hours that the session's zone skips are times like any other."""
+    return F.when(text.rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"), text.try_cast("timestamp_ntz"))
+
+
+def _day(text: Column) -> Column:
+    """Text in FILE_DATE's form as a date, null otherwise."""
+    return F.when(text.rlike(r"^\d{4}-\d\d-\d\d$"), text.try_cast("date"))
+
+
 def parse_times(
     df: DataFrame, timestamps=("trans_date_trans_time",), dates=("dob",)
 ) -> DataFrame:
     """Parse text columns to timestamps and dates; text that does not parse becomes null."""
-    parsed = {c: F.expr(f"try_to_timestamp({c}, '{FILE_TIMESTAMP}')").cast("timestamp_ntz")
-              for c in timestamps}
-    parsed |= {c: F.expr(f"CAST(try_to_timestamp({c}, '{FILE_DATE}') AS DATE)") for c in dates}
+    parsed = {c: _wall_clock(F.col(c)) for c in timestamps} | {c: _day(F.col(c)) for c in dates}
     return df.withColumns(parsed)
 
 
@@ -70,9 +79,9 @@ def _typed(name: str, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return F.col(name)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.try_to_timestamp(name, F.lit(FILE_TIMESTAMP)).cast(kind)
+        return _wall_clock(F.col(name)).cast(kind)
     if isinstance(kind, T.DateType):
-        return F.try_to_timestamp(name, F.lit(FILE_DATE)).cast(kind)
+        return _day(F.col(name)).cast(kind)
     return F.col(name).try_cast(kind)
 
 

@@ -75,3 +75,15 @@ def test_scan_reads_only_needed_columns(spark):
     plan = CATALOG["a_rate_hour"](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
     orders = [l for l in plan.splitlines() if "ReadSchema" in l and "o_orderkey" in l]
     assert orders and all("o_orderpriority" not in l for l in orders)
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    rows = [("2024-03-10 02:30:00", "2024-03-10"), ("2024-13-01 00:00:00", "2024-02-30"), ("2024-03-10", "x"), (None, None)]
+    df = spark.createDataFrame(rows, "trans_date_trans_time string, dob string")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = files.parse_times(df).selectExpr("CAST(trans_date_trans_time AS STRING)", "CAST(dob AS STRING)").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [tuple(r) for r in got] == [("2024-03-10 02:30:00", "2024-03-10"), (None, None), (None, None), (None, None)]
