@@ -124,7 +124,8 @@ def fit(feature: np.ndarray, n: np.ndarray, positive: np.ndarray, size: int, pri
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
           positive_rows: int = POSITIVE_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Model:
     """Fit on about ``positive_rows`` confirmed toxic rows and ``unlabelled_rows`` of all other rows
-    (the documented bound). The class prior is the toxic share of the labelled rows."""
+    (the documented bound). Rows that share an id count as one, with the least of their texts. The
+    class prior is the toxic share of the labelled rows."""
     marked = (labels.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
               .filter("_key IS NOT NULL AND _label IS NOT NULL")
               .groupBy("_key").agg(F.max("_label").alias("_label")))
@@ -137,8 +138,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     drawn = F.pmod(F.xxhash64(F.col("_key"), F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
     share = min(1.0, unlabelled_rows / max(1, rows.count()))
     sure = marked.filter((F.col("_label") == 1) & (drawn < min(1.0, positive_rows / toxic))).select("_key", F.lit(True).alias("_sure"))
-    sample = saved(rows.withColumn("_drawn", drawn < share).join(sure, "_key", "left").filter("_sure OR _drawn").select(
-        F.col("_key").cast("string").alias("_key"), "_text", F.coalesce("_sure", F.lit(False)).alias("_sure"), "_drawn"), "sample")
+    # about positive_rows keys at most, so they are broadcast: texts outside the sample are not shuffled
+    sample = rows.withColumn("_drawn", drawn < share).join(F.broadcast(sure), "_key", "left").filter("_sure OR _drawn")
+    # one row an id, however many share it
+    sample = saved(sample.groupBy(F.col("_key").cast("string").alias("_key")).agg(
+        F.min("_text").alias("_text"), F.coalesce(F.max("_sure"), F.lit(False)).alias("_sure"), F.max("_drawn").alias("_drawn")), "sample")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
