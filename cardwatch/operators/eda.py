@@ -60,19 +60,6 @@ def positive_counts(df: DataFrame, dimensions=None, order=None, label: str = LAB
     )
 
 
-def _grouped_scalar(df: DataFrame, by: str | None, row: Column) -> Column:
-    """One struct of fitted numbers for the row's group, read from a scalar subquery.
-
-    ``by`` must be a label-like column: the subquery holds one entry per group.
-    """
-    if by is None:
-        return df.agg(row.alias("s")).scalar()
-    grouped = df.groupBy(by).agg(row.alias("s"))
-    return grouped.agg(
-        F.map_from_entries(F.collect_list(F.struct(by, "s"))).alias("m")
-    ).scalar()[F.col(by)]
-
-
 def histogram(
     df: DataFrame, column: str, bins: int = 50, by: str | None = None, density: bool = False
 ) -> DataFrame:
@@ -90,7 +77,8 @@ def histogram(
         F.when(flat, F.max("x") + 0.5).otherwise(F.max("x")).alias("hi"),
         F.count("x").alias("n"),
     )
-    fitted = rows.withColumn("s", _grouped_scalar(rows, by, limits))
+    groups = rows.groupBy(*keys).agg(limits.alias("s")).where("s.n > 0")
+    fitted = rows.join(groups, by) if by else rows.withColumn("s", rows.agg(limits.alias("s")).scalar())
     low, width = F.col("s.lo"), (F.col("s.hi") - F.col("s.lo")) / bins
     first_guess = F.least(
         F.floor((F.col("x") - low) * (F.lit(float(bins)) / (F.col("s.hi") - low))),
@@ -107,7 +95,6 @@ def histogram(
         fitted.withColumn("b", first_guess).withColumn("bin", bin_of.cast("int"))
         .groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
     )
-    groups = rows.groupBy(*keys).agg(limits.alias("s")).where("s.n > 0")
     slots = groups.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     full = slots.join(counts, [*keys, "bin"], "left")
     n = F.coalesce(F.col("n"), F.lit(0))
@@ -122,39 +109,55 @@ def histogram(
     return full.select(*out)
 
 
+#: Distinct values whose kernels are evaluated together.
+KERNEL_ROWS = 4096
+
+
+def _kernel_sums(points: int, cut: float):
+    """Task function: the grid and the sum of kernels at each of its points over one partition."""
+    def partition(batches):
+        total = grid = norm = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, n, low, high, width = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            n, low, high, h = n[0], low[0], high[0], width[0]
+            step = (high - low + h * (2 * cut)) / (points - 1)
+            if not (h > 0 and step > 0):
+                continue
+            if total is None:
+                total, grid = np.zeros(points), low - h * cut + np.arange(points) * step
+                norm = n * h * np.sqrt(2 * np.pi)
+            value, times = np.unique(x, return_counts=True)
+            for start in range(0, len(value), KERNEL_ROWS):
+                z = (grid[:, None] - value[start:start + KERNEL_ROWS]) / h
+                total += np.exp(-0.5 * z * z) @ times[start:start + KERNEL_ROWS]
+        if total is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(points, dtype="int32")), pa.array(grid), pa.array(total),
+                 pa.array(np.full(points, norm))], names=["point", "x", "k", "norm"],
+            )
+
+    return partition
+
+
 def density_curve(
     df: DataFrame, column: str, points: int = 200, cut: float = 0.0
 ) -> DataFrame:
     """Gaussian kernel density on an even grid, bandwidth n^(-1/5) times the sample deviation.
 
-    Repeated values are counted once; each value then adds only to the grid points within 39
-    bandwidths, beyond which a double-precision kernel is exactly zero. The sums combine on the
-    map side, so what is shuffled is one row per grid point and task.
+    Kernels are summed per Arrow batch where the rows are; a task sends one row per grid point,
+    whatever its number of rows.
     """
     rows = df.where(~is_missing(df, column)).select(F.col(column).cast("double").alias("x"))
     moments = rows.agg(F.struct(
         F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"),
         (F.pow(F.count("x").cast("double"), F.lit(-0.2)) * F.stddev_samp("x")).alias("h"),
     ).alias("s")).scalar()
-    fitted = (
-        rows.groupBy("x").agg(F.count(F.lit(1)).alias("w")).withColumn("s", moments)
-        .withColumn("g0", F.col("s.lo") - F.col("s.h") * cut)
-        .withColumn("step", (F.col("s.hi") - F.col("s.lo") + F.col("s.h") * (2 * cut)) / (points - 1))
-        .where("s.h > 0 AND step > 0")
-    )
-    reach = F.col("s.h") * 39
-    first = F.greatest(F.lit(0), F.ceil((F.col("x") - reach - F.col("g0")) / F.col("step")))
-    last = F.least(F.lit(points - 1), F.floor((F.col("x") + reach - F.col("g0")) / F.col("step")))
-    z = (F.col("g0") + F.col("i") * F.col("step") - F.col("x")) / F.col("s.h")
-    return (
-        fitted.withColumn("i", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-        .groupBy("i")
-        .agg(
-            F.first(F.col("g0") + F.col("i") * F.col("step")).alias("x"),
-            F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("k"),
-            F.first(F.col("s.n") * F.col("s.h") * float(np.sqrt(2 * np.pi))).alias("norm"),
-        )
-        .select(F.col("i").alias("point"), "x", (F.col("k") / F.col("norm")).alias("density"))
+    fitted = rows.withColumn("s", moments).select("x", "s.*")
+    sums = fitted.mapInArrow(_kernel_sums(points, cut), "point int, x double, k double, norm double")
+    return sums.groupBy("point").agg(
+        F.first("x").alias("x"), (F.sum("k") / F.first("norm")).alias("density")
     )
 
 

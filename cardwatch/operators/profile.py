@@ -49,24 +49,19 @@ def total_missing(df: DataFrame) -> Column:
     return total
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows equal to an earlier row (nulls equal).
+def _copies(df: DataFrame) -> DataFrame:
+    """Distinct rows and how often each occurs (nulls equal); copies collapse on the map side, so
+    the only shuffle carries a repeated row once per task."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
 
-    The first pass shuffles an 8-byte row hash instead of whole rows; only rows whose hash occurs
-    more than once are then compared in full, so hash collisions cannot change the count. Copies
-    collapse on the map side in both passes.
-    """
-    # Nulls do not feed the hash, so a null flag per column keeps (1, null) from (null, 1) apart.
-    hashed = df.withColumn(
-        "_hash", F.xxhash64(*[F.col(c) for c in df.columns],
-                            *[F.col(c).isNull() for c in df.columns])
-    )
-    repeated = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return (
-        hashed.join(repeated, "_hash", "left_semi")
-        .groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-        .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
-    )
+
+def _surplus() -> Column:
+    return F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates")
+
+
+def duplicate_count(df: DataFrame) -> DataFrame:
+    """Rows equal to an earlier row (nulls equal)."""
+    return _copies(df).agg(_surplus())
 
 
 def class_balance(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -84,16 +79,23 @@ def class_balance(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def quality_report(named: dict[str, DataFrame], label: str = LABEL) -> DataFrame:
-    """One row per table: missing values, duplicates, positive rate (null without a label)."""
+    """One row per table: missing values, duplicates, positive rate (null without a label).
+
+    All three come from the distinct rows and their counts, so a table is read once.
+    """
     report = None
     for name, df in named.items():
-        has_label = label in df.columns
-        part = df.agg(
-            total_missing(df).alias("missing_values"),
-            (F.avg(label) if has_label else F.lit(None).cast("double")).alias("fraud_rate"),
-        ).select(
-            F.lit(name).alias("dataset"), "missing_values",
-            duplicate_count(df).scalar().alias("duplicates"), "fraud_rate",
+        n, missing = F.col("_n"), F.lit(0)
+        for c in df.columns:
+            missing = missing + is_missing(df, c).cast("int")
+        rate = (
+            ratio(F.sum(F.col(label) * n), F.sum(F.when(F.col(label).isNotNull(), n)))
+            if label in df.columns else F.lit(None).cast("double")
+        )
+        part = _copies(df).agg(
+            F.lit(name).alias("dataset"),
+            F.coalesce(F.sum(missing * n), F.lit(0)).cast("bigint").alias("missing_values"),
+            _surplus(), rate.alias("fraud_rate"),
         )
         report = part if report is None else report.unionByName(part)
     return report

@@ -720,8 +720,7 @@ def e_rf(spark, folder):
 
 @query
 def e_gbt(spark, folder):
-    return _fit_and_score(spark, folder, "gradient_boosting",
-                          {"n_estimators": 20, "max_depth": 5, "learning_rate": 0.3})
+    return _fit_and_score(spark, folder, "gradient_boosting")
 
 
 def _ascent_rows(spark, folder, apply_to: str = "train"):
@@ -794,7 +793,7 @@ def e_grid_search(spark, folder):
 def e_cv(spark, folder):
     """F1 and AUC per fold, with SMOTE inside the training part only, and their means."""
     folds = training.cross_validate(
-        training.KINDS["logistic_regression"], _table(spark, folder), {"C": 1.0}, 3, "smote"
+        training.KINDS["logistic_regression"], _table(spark, folder), {"C": 1.0}, 5, "smote"
     )
     means = training.mean_scores(folds)
     return folds.select("model", "fold", "f1", "auc").unionByName(means.select(
@@ -805,29 +804,31 @@ def e_cv(spark, folder):
 
 @query
 def e_refit_predict(spark, folder):
-    """Search, refit on all balanced training rows, predict the test rows."""
+    """Search the whole logistic grid, refit on all balanced training rows, predict the test rows."""
     train, test = _parts(spark, folder)
     kind = training.KINDS["logistic_regression"]
     features = pipeline.fit_features(train)
-    best = training.random_search(
-        kind, pipeline.model_table(features, train), grid={"C": [0.1, 10], "penalty": ["l2"]}
-    )[0][0]
-    model = training.train(kind, train, {**kind.params, **best}, "bootstrap", features)
+    best = training.random_search(kind, pipeline.model_table(features, train))[0][0]
+    model = training.train(kind, train, {**kind.params, **best}, "smote", features)
     return training.predictions(model, test)
 
 
-SMALL = {
-    "random_forest": {"n_estimators": 20, "max_depth": 6},
-    "gradient_boosting": {"n_estimators": 10, "max_depth": 4},
-}
+@query
+def e_full_run(spark, folder):
+    """Search, five-fold validation, refit and test metrics of the logistic model."""
+    return training.full_run(training.KINDS["logistic_regression"], *_parts(spark, folder))[1]
+
+
+def _all_models(spark, folder):
+    kinds = [training.KINDS[k] for k in ("logistic_regression", "random_forest", "gradient_boosting")]
+    models, status, scored = training.train_all(*_parts(spark, folder), kinds)
+    return models, status, evaluate.comparison(evaluate.full_metrics(scored))
 
 
 @query
 def e_train_all(spark, folder):
-    train, test = _parts(spark, folder)
-    kinds = [training.KINDS[k] for k in ("logistic_regression", "random_forest", "gradient_boosting")]
-    _, status, scored = training.train_all(train, test, kinds, SMALL)
-    return status.join(evaluate.comparison(evaluate.full_metrics(scored)), "model", "left")
+    _, status, results = _all_models(spark, folder)
+    return status.join(results, "model", "left")
 
 
 # --- evaluation ------------------------------------------------------------------------------
@@ -896,24 +897,17 @@ def v_threshold(spark, folder):
 
 # --- explainability --------------------------------------------------------------------------
 
-def _small_forest(spark, folder):
-    train, test = _parts(spark, folder)
-    model = training.train(training.KINDS["random_forest"], train, SMALL["random_forest"], "weights")
-    return model, test
-
-
 @query
 def x_importance(spark, folder):
-    model, _ = _small_forest(spark, folder)
-    return explain.importances(model, FEATURES)
+    train, _ = _parts(spark, folder)
+    return explain.importances(training.train(training.KINDS["random_forest"], train), FEATURES)
 
 
 @query
 def x_ranking(spark, folder):
-    """Ranking of the linear model's features by coefficient size on scaled data."""
-    train, _ = _parts(spark, folder)
-    model = training.train(training.KINDS["logistic_regression"], train)
-    return explain.rank_features(model, FEATURES)
+    """Features of the model with the best weighted score on the test rows, by importance."""
+    models, _, results = _all_models(spark, folder)
+    return explain.rank_features(models[evaluate.arg_max(results, "score", "model").first().model], FEATURES)
 
 
 @query
@@ -924,7 +918,7 @@ def x_linear_shap(spark, folder):
 @query
 def x_tree_shap(spark, folder):
     train, test = _parts(spark, folder)
-    model = training.train(training.KINDS["gradient_boosting"], train, SMALL["gradient_boosting"])
+    model = training.train(training.KINDS["gradient_boosting"], train)
     return explain.tree_shap(model, test, FEATURES)
 
 

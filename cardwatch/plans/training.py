@@ -45,6 +45,7 @@ BOOSTING_SEARCH = {
     "n_estimators": [50, 100, 200], "max_depth": [3, 5, 7, 10],
     "learning_rate": [0.01, 0.1, 0.2], "subsample": [0.6, 0.8, 1.0],
     "colsample_bytree": [0.6, 0.8, 1.0], "reg_alpha": [0, 0.1, 1], "reg_lambda": [1, 5, 10],
+    "class_weight": ["balanced"],
 }
 # The largest forest that is trained after a search.
 MAX_TREES, MAX_DEPTH = 100, 10
@@ -75,7 +76,11 @@ def forest(params: dict, n: int = 0) -> RandomForestClassifier:
 
 
 def boosting(params: dict, n: int = 0) -> GBTClassifier:
-    """Column sampling is per node here; leaf penalties have no counterpart and are ignored."""
+    """Column sampling is per node here; leaf penalties have no counterpart and are ignored.
+
+    Balanced class weights stand for a positive-class weight of negatives / positives: the two
+    differ by a factor common to all rows, which neither gains nor leaf means depend on.
+    """
     columns = params.get("colsample_bytree", 1.0)
     return GBTClassifier(
         maxIter=params.get("n_estimators", 100), maxDepth=params.get("max_depth", 6),
@@ -111,7 +116,8 @@ KINDS = {
         {"n_estimators": 100, "max_depth": 10, "class_weight": "balanced"}, FOREST_SEARCH),
     "gradient_boosting": ModelKind(
         "gradient_boosting", boosting, False,
-        {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3}, BOOSTING_SEARCH),
+        {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3, "class_weight": "balanced"},
+        BOOSTING_SEARCH),
     "decision_tree": ModelKind("decision_tree", tree, False, {"max_depth": 30}),
 }
 
@@ -284,6 +290,26 @@ def cross_validate(kind: ModelKind, table: DataFrame, params: dict | None = None
     return evaluate.full_metrics(scored, by=["fold"]).withColumn("model", F.lit(kind.name))
 
 
+def full_run(kind: ModelKind, transactions: DataFrame, test: DataFrame, n_iter: int = 20,
+             folds: int = 5, balance: str | None = "smote") -> tuple[PipelineModel, DataFrame]:
+    """Search, cross-validate the winner, refit it on all balanced rows and report on ``test``.
+
+    Returns the model and one row: model, params, cv_f1_mean, cv_auc_mean and the test metrics.
+    Forests are capped before the refit.
+    """
+    features = fit_features(transactions)
+    table = saved(model_table(features, transactions), "encoded")
+    best = {**kind.params, **random_search(kind, table, n_iter)[0][0]}
+    if kind.build is forest:
+        best = cap_forest(best)
+    validated = mean_scores(cross_validate(kind, table, best, folds, balance))
+    head = fit_table(kind, table, best, balance)
+    model = PipelineModel(stages=[*features.stages, *head.stages])
+    tested = evaluate.full_metrics(predictions(model, test).withColumn("model", F.lit(kind.name)))
+    report = validated.join(tested, "model").withColumn("params", F.lit(json.dumps(best)))
+    return model, report
+
+
 def mean_scores(fold_metrics: DataFrame) -> DataFrame:
     return fold_metrics.groupBy("model").agg(
         F.avg("f1").alias("cv_f1_mean"), F.avg("auc").alias("cv_auc_mean")
