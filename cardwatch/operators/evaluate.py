@@ -13,6 +13,7 @@ from cardwatch.operators.ordering import (
     keyed_ranges, quantile_limits, range_count, running_totals,
 )
 from cardwatch.operators.ranking import arg_max
+from cardwatch.session import saved
 
 
 def confusion(
@@ -60,8 +61,11 @@ def auc(
     """Area under the ROC curve with ties counted half; null when a class is absent."""
     by = list(by)
     limits = quantile_limits(df, score, range_count(df))
-    ranked = running_totals(_score_counts(df, label, score, by), "threshold", ["n0"], by=by,
-                            limits=limits)
+    return _area(_score_counts(df, label, score, by), by, limits)
+
+
+def _area(counts: DataFrame, by: list[str], limits: list[float]) -> DataFrame:
+    ranked = running_totals(counts, "threshold", ["n0"], by=by, limits=limits)
     # doubles: pair counts of a large table do not fit a 64-bit integer
     wins = F.sum(F.col("n1").cast("double") * (F.col("cum_n0") - F.col("n0") / 2.0))
     pairs = F.sum("n1").cast("double") * F.sum("n0")
@@ -115,9 +119,29 @@ def full_metrics(
     df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score",
     by: list[str] = ("model",),
 ) -> DataFrame:
-    """Counts, rates and AUC per group."""
-    by = list(by)
-    return metrics(df, label, prediction, by).join(auc(df, label, score, by), by, "left")
+    """Counts, rates and AUC per group.
+
+    The rows, often a model's output, are evaluated once: into a saved table of class counts for
+    each score and prediction, from which everything else follows.
+    """
+    by, y = list(by), F.col(label)
+    counted = saved(
+        df.groupBy(*by, F.col(score).alias("threshold"), F.col(prediction).alias("_p"))
+        .agg(F.count_if(y == 1).alias("n1"), F.count_if(y == 0).alias("n0")), "scores",
+    )
+
+    def total(count: str, predicted: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_p") == predicted, F.col(count))), F.lit(0))
+
+    counts = counted.groupBy(*by).agg(
+        total("n0", 0).alias("tn"), total("n0", 1).alias("fp"),
+        total("n1", 0).alias("fn"), total("n1", 1).alias("tp"),
+    )
+    present = counted.where("threshold IS NOT NULL").groupBy(*by, "threshold").agg(
+        F.sum("n1").alias("n1"), F.sum("n0").alias("n0")
+    )
+    limits = quantile_limits(counted, "threshold", range_count(counted))
+    return with_rates(counts).join(_area(present, by, limits), by, "left")
 
 
 def classification_report(

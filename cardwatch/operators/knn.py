@@ -104,7 +104,7 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 
 def _best(queries: np.ndarray, points: np.ndarray, ids: pd.Series, keep: int, radius=None):
-    """Yield (row, distances, ids) of the ``keep`` nearest ids of each query vector."""
+    """Yield arrays (row, distance, id) of the ``keep`` nearest ids of each query vector, by row."""
     sizes = np.array([len(i) for i in ids])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     flat = np.concatenate([np.asarray(i, dtype=np.int64) for i in ids])
@@ -130,12 +130,8 @@ def _best(queries: np.ndarray, points: np.ndarray, ids: pd.Series, keep: int, ra
         row, far = np.repeat(row, repeat), np.repeat(distance[row, point], repeat)
         order = np.lexsort((found, far, row))
         row, far, found = row[order], far[order], found[order]
-        first = np.searchsorted(row, np.arange(len(block)))
-        last = np.searchsorted(row, np.arange(len(block)), side="right")
-        for i in range(len(block)):
-            stop = min(last[i], first[i] + keep)
-            if stop > first[i]:
-                yield begin + i, far[first[i]:stop], found[first[i]:stop]
+        nearest = np.arange(len(row)) - np.searchsorted(row, row) < keep
+        yield begin + row[nearest], far[nearest], found[nearest]
 
 
 def nearest_neighbours(
@@ -179,10 +175,10 @@ def nearest_neighbours(
     def inside(part: pd.DataFrame) -> pd.DataFrame:
         cuts, x = shared.value, _matrix(part["x"])
         own = int(part["leaf"].iloc[0])
-        far, found = [None] * len(part), [None] * len(part)
-        for i, d, ids in _best(x, x, part["ids"], keep):
-            far[i], found[i] = d, ids
-        radius = np.array([d[-1] if len(d) == keep else np.inf for d in far])
+        row, d, ids = (np.concatenate(c) for c in zip(*_best(x, x, part["ids"], keep)))
+        last = np.cumsum(np.bincount(row, minlength=len(x)))  # a row finds itself at least
+        radius = np.where(np.diff(last, prepend=0) == keep, d[last - 1], np.inf)
+        far, found = np.split(d, last[:-1]), np.split(ids, last[:-1])
         visits = []
         chunk = max(1, CHUNK_CELLS // cuts.count)
         for begin in range(0, len(x), chunk):
@@ -210,11 +206,12 @@ def nearest_neighbours(
         def visit(callers: pd.DataFrame, hosted: pd.DataFrame) -> pd.DataFrame:
             out = []
             if len(callers) and len(hosted):
-                vid = callers["vid"].to_numpy()
-                for i, d, ids in _best(_matrix(callers["x"]), _matrix(hosted["x"]), hosted["ids"],
-                                       keep, callers["radius"].to_numpy()):
-                    out.append(pd.DataFrame({"vid": vid[i], "d": d, "i": ids}))
-            return pd.concat(out) if out else pd.DataFrame({"vid": [], "d": [], "i": []})
+                out = list(_best(_matrix(callers["x"]), _matrix(hosted["x"]), hosted["ids"],
+                                 keep, callers["radius"].to_numpy()))
+            if not out:
+                return pd.DataFrame({"vid": [], "d": [], "i": []})
+            row, d, ids = (np.concatenate(c) for c in zip(*out))
+            return pd.DataFrame({"vid": callers["vid"].to_numpy()[row], "d": d, "i": ids})
 
         remote = (
             calls.groupBy("source", "target").cogroup(hosts.groupBy("caller", "host"))

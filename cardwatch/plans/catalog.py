@@ -773,10 +773,8 @@ def e_random_search(spark, folder):
 
 @query
 def e_random_search_forest(spark, folder):
-    """Two draws from the forest grid; the winner's parameters are capped for training."""
-    ranked, report = training.random_search(
-        training.KINDS["random_forest"], _table(spark, folder), n_iter=2
-    )
+    """Twenty draws from the forest grid; the winner's parameters are capped for training."""
+    ranked, report = training.random_search(training.KINDS["random_forest"], _table(spark, folder))
     capped = training.cap_forest(ranked[0])
     return report.withColumns({
         "capped_trees": F.lit(capped["n_estimators"]), "capped_depth": F.lit(capped["max_depth"]),

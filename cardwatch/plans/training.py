@@ -25,7 +25,7 @@ from cardwatch.plans.pipeline import (
     MODEL_COLUMNS, assembler, fit_features, model_table, scaling_stages,
 )
 from cardwatch.schema import LABEL
-from cardwatch.session import saved, sized
+from cardwatch.session import saved
 
 SEED = 42
 
@@ -177,7 +177,7 @@ def fit_table(kind: ModelKind, table: DataFrame, params: dict | None = None,
     rows = balance_rows(table, balance, columns, label).persist()
     try:
         n = rows.count()
-        return _head(kind, params, rows, n, columns, label).fit(sized(rows, n))
+        return _head(kind, params, rows, n, columns, label).fit(rows)
     finally:
         rows.unpersist()
 
@@ -224,6 +224,7 @@ def search(kind: ModelKind, table: DataFrame, points: list[dict], folds: int = 3
     """
     name = "fMeasureByLabel" if metric == "f1" else metric
     evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName=name, metricLabel=1.0)
+    table = saved(table, "encoded")
     folded = stratified_folds(table, folds, label).withColumns({
         "weight": balanced_weight(table, label), "unit_weight": F.lit(1.0),
     })
@@ -235,7 +236,7 @@ def search(kind: ModelKind, table: DataFrame, points: list[dict], folds: int = 3
     matrix = Pipeline(stages=stages).fit(folded).transform(folded).select(
         "features", label, "fold", "weight", "unit_weight"
     )
-    rows = saved(sized(matrix, n), "search")
+    rows = saved(matrix, "search")
     estimator = kind.build({}, n).setLabelCol(label).setFeaturesCol("features")
     in_fold = n * (folds - 1) // folds
     result = CrossValidator(
@@ -275,7 +276,7 @@ def cross_validate(kind: ModelKind, table: DataFrame, params: dict | None = None
     The folds' fits run side by side; their validation scores form one table that is evaluated
     in one pass.
     """
-    folded = saved(sized(stratified_folds(table, folds, label, key), table.count()), "folds")
+    folded = saved(stratified_folds(table, folds, label, key), "folds")
 
     def one(fold: int) -> DataFrame:
         fit_rows, held_out = fold_split(folded, fold)

@@ -65,15 +65,6 @@ def checkpointed(df):
     return df.checkpoint(eager=True)
 
 
-#: Rows one task of an iterative fit should hold at least; below it, scheduling dominates.
-ROWS_PER_TASK = 100_000
-
-
-def sized(df, n: int):
-    """Merge the partitions of a table of n rows that are too small to be worth a task each."""
-    return df.coalesce(max(1, -(-n // ROWS_PER_TASK)))
-
-
 def saved(df, name: str = "table"):
     """Write a table to the shared folder and read it back.
 
