@@ -104,6 +104,14 @@ def test_toxicity_held_out(spark, odd_docs):
     assert len(scores) == odd_docs.count() and max(scores) < 1e-9
 
 
+def test_toxicity_counts_rows_of_one_id_once(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    once = toxicity.train(docs, labels)
+    often = toxicity.train(docs.unionByName(docs).unionByName(docs.limit(0)), labels.unionByName(labels))
+    assert len(once.vocabulary) and (once.vocabulary == often.vocabulary).all()
+    assert np.allclose(once.weights, often.weights) and once.prior == often.prior
+
+
 def test_zip_directories_with_and_without_zip64():
     for wide in (False, True):
         sink = io.BytesIO()
