@@ -12,7 +12,7 @@ HEADLINE = [
     "a_rate_hour", "q_quality_report", "q_distinct", "q_describe", "a_corr", "a_vif",
     "a_hist_density", "a_kde", "a_fraud_counts", "m_model_table", "m_folds", "m_bootstrap",
     "j_knn", "m_smote", "v_compare", "v_roc_all", "x_linear_shap", "d_score", "d_stream_score",
-    "e_lr",
+    "e_lr", "e_rf", "e_l2_sweep",
 ]
 
 
