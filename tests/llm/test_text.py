@@ -174,6 +174,18 @@ def test_jaccard_join(spark, monkeypatch, k, percent):
     assert {r.doc: (r.n_shingles, r.component_id) for r in got} == _joined(rows, k, percent)
 
 
+def test_jaccard_join_of_texts_with_other_white_space(spark):
+    draw, rows = random.Random(4), []
+    for i in range(0, 120, 2):
+        w = ["".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 6))) for _ in range(32)]
+        breaks = draw.sample(range(33), 2)  # wide gaps must not decide which shingles stand for the text
+        rows += [(i, " ".join(w)), (i + 1, "".join(x + ("\n" + " " * 8 if j in breaks else " ") for j, x in enumerate([*w, "end"])))]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    want = _joined(rows, 3, 90)
+    assert {i: c for i, (_, c) in want.items()} == {i: i - i % 2 for i, _ in rows}
+    assert {r.doc: (r.n_shingles, r.component_id) for r in got} == want
+
+
 def test_jaccard_odd_rows(odd_docs):
     got = jaccard.join(odd_docs).collect()
     assert len(got) == odd_docs.count()
