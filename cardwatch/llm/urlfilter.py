@@ -31,7 +31,10 @@ RULES = [
 ]
 
 LINK = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
-DAMPING, ROUNDS, TOLERANCE, MARGIN = 0.85, 20, 1e-6, 1e-6
+#: A share is settled when a round adds less than this part of it; shares nearer than MARGIN (a part, too) are even.
+DAMPING, TOLERANCE, MARGIN = 0.85, 1e-6, 1e-6
+#: The SQL cannot iterate until shares settle: its rounds, and its margin on shares that sum to 1.
+SQL_ROUNDS, SQL_MARGIN = 20, 1e-6
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -65,12 +68,14 @@ def host_links(pages: DataFrame, host: str = "host", html: str = "html") -> Data
             .groupBy("src", "dst").agg(F.count("*").alias("n")))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
-           tolerance: float = TOLERANCE) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank of several kinds at once: kind, host, share (sums to 1 in a kind).
 
     edges: kind, src, dst, n. seeds: kind, host, mass (any scale). Mass of hosts without links is
-    not handed on; that changes the scale only, and shares are scaled at the end.
+    not handed on; that changes the scale only, and shares are scaled at the end. Rounds go on until
+    the share of every host is settled in proportion to itself, so all hosts that links reach have
+    one, and neither the size of the graph nor the distance to a seed decides. Ranks only grow, and
+    what a round adds shrinks by ``damping``: about 90 rounds, or the longest way from a seed if longer.
     """
     total = seeds.groupBy("kind").agg(F.sum("mass").alias("all"))
     seeds = saved(seeds.join(total, "kind").filter("mass > 0")
@@ -79,19 +84,16 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
     edges = saved(edges.join(out, ["kind", "src"])
                   .select("kind", F.col("src").alias("host"), "dst", (F.col("n") / F.col("all")).alias("w")), "edges")
     base = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank"))
-    rank = base
-    if edges.isEmpty():
-        rounds = 0
-    for _ in range(rounds):
+    rank, open_ = base, not edges.isEmpty()
+    nothing = F.lit(0.0).alias("old")
+    while open_:
         flow = rank.join(edges, ["kind", "host"]).select(
-            "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("w") * damping).alias("rank"))
-        new = checkpointed(flow.unionByName(base).groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
-        moved = (new.select("kind", "host", F.col("rank").alias("d"))
-                 .unionByName(rank.select("kind", "host", (-F.col("rank")).alias("d")))
-                 .groupBy("kind", "host").agg(F.abs(F.sum("d")).alias("d")).agg(F.sum("d")).first()[0])
-        rank = new
-        if not moved or moved < tolerance:
-            break
+            "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("w") * damping).alias("rank"), nothing)
+        both = flow.unionByName(base.select("*", nothing)).unionByName(
+            rank.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("old")))
+        new = checkpointed(both.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("old").alias("old")))
+        open_ = not new.filter(F.col("rank") - F.col("old") > tolerance * F.col("rank")).isEmpty()
+        rank = new.drop("old")
     whole = rank.groupBy("kind").agg(F.sum("rank").alias("all"))
     return rank.join(whole, "kind").select("kind", "host", (F.col("rank") / F.col("all")).alias("share"))
 
@@ -122,7 +124,7 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES, page_id: str = "page_id",
     return (ruled.drop("html").join(share, "host", "left")
             .withColumns({"trust": trust, "distrust": distrust})
             .select("page_id", "host", "path", "rule",
-                    F.coalesce("action", F.when(F.col("distrust") > F.col("trust") + MARGIN, "block")
+                    F.coalesce("action", F.when(F.col("distrust") > F.col("trust") * (1 + MARGIN), "block")
                                .otherwise("allow")).alias("verdict"), "trust", "distrust"))
 
 
@@ -138,7 +140,7 @@ def _sql() -> str:
     rounds = "".join(
         f", r{i} AS (SELECT kind, host, sum(rank) AS rank FROM (SELECT r.kind, e.dst AS host, {DAMPING} * r.rank * e.w AS rank"
         f" FROM r{i - 1} r JOIN w e ON r.kind = e.kind AND r.host = e.src UNION ALL SELECT * FROM r0) GROUP BY 1, 2)"
-        for i in range(1, ROUNDS + 1))
+        for i in range(1, SQL_ROUNDS + 1))
     return f"""
 WITH p AS (SELECT page_id, {host} AS host, {path} AS path, html FROM pages),
 rules(action, rh, rp) AS (VALUES ('allow','org','/'), ('block','example.org','/es/'),
@@ -156,9 +158,9 @@ w AS (SELECT kind, src, dst, n / sum(n) OVER (PARTITION BY kind, src) AS w FROM
 s AS (SELECT action AS kind, host, count(*) AS mass FROM m WHERE action IS NOT NULL AND host != '' GROUP BY 1, 2),
 r0 AS (SELECT kind, host, {1 - DAMPING} * mass / sum(mass) OVER (PARTITION BY kind) AS rank FROM s){rounds},
 sh AS (SELECT host, coalesce(max(x) FILTER (kind = 'allow'), 0) AS t, coalesce(max(x) FILTER (kind = 'block'), 0) AS d
-       FROM (SELECT kind, host, rank / sum(rank) OVER (PARTITION BY kind) AS x FROM r{ROUNDS}) GROUP BY 1)
+       FROM (SELECT kind, host, rank / sum(rank) OVER (PARTITION BY kind) AS x FROM r{SQL_ROUNDS}) GROUP BY 1)
 SELECT page_id, m.host, path, rule,
-  coalesce(action, CASE WHEN coalesce(d, 0) > coalesce(t, 0) + {MARGIN} THEN 'block' ELSE 'allow' END) AS verdict
+  coalesce(action, CASE WHEN coalesce(d, 0) > coalesce(t, 0) + {SQL_MARGIN} THEN 'block' ELSE 'allow' END) AS verdict
 FROM m LEFT JOIN sh ON m.host = sh.host"""
 
 

@@ -157,6 +157,19 @@ def test_link_graph_verdicts(spark):
     assert urlfilter.judge(df.limit(0)).count() == 0
 
 
+def test_distrust_counts_however_small_and_far(spark):
+    """Hosts up to 24 links from a blocked page, their shares down to 1e-16, nothing that trusts them."""
+    rows, last = [(0, "http://bad.example.org/es/1", "")], "bad.example.org"
+    for i in range(1, 25):
+        for side in range(4):  # all four link to the host of the level before
+            rows.append((i * 10 + side, f"http://h{side}.l{i}.net/", f'<a href="http://{last}/es/1">'))
+        last = f"h0.l{i}.net"
+    rows.append((999, "http://alone.net/", '<a href="http://unseen.net/">'))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urlfilter.judge(df).collect()}
+    assert got == {i: "allow" if i == 999 else "block" for i, _, _ in rows}
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{TINY}/documents.parquet")
     out = corpus_pipeline.run(spark, TINY).collect()
