@@ -160,7 +160,10 @@ def n_best(word: str, v: Vocabulary, n: int) -> list[tuple[int, tuple[int, ...]]
 def _relax(level: np.ndarray, source: np.ndarray, target: np.ndarray, score: np.ndarray, value: np.ndarray, first: np.ndarray):
     """Best value of every target, level by level, and the arc it comes by (smallest ``first`` on ties)."""
     by = np.full(len(value), -1)
-    order = np.argsort((level * len(value) + target) * len(value) + first)
+    if (int(level.max(initial=0)) + 1) * len(value) ** 2 < 1 << 63:
+        order = np.argsort((level * len(value) + target) * len(value) + first)
+    else:  # a run of millions of characters: one number cannot hold the key
+        order = np.lexsort((first, target, level))
     cuts = np.searchsorted(level[order], np.arange(1, level.max() + 2)) if len(level) else [0]
     source, target, score = source[order], target[order], score[order]
     for a, b in zip(cuts[:-1], cuts[1:]):

@@ -41,6 +41,16 @@ def test_n_best_of_words_and_texts(vocabulary):
         assert pieces.decoded(ids, v) == text.encode()
 
 
+def test_viterbi_order_of_a_run_of_millions():
+    nodes = 2_200_000  # level * nodes * nodes passes 2^63
+    source, target = np.array([0, 0, 1, 2, 1, nodes - 2]), np.array([1, 2, nodes - 2, nodes - 2, 2, nodes - 1])
+    value = np.full(nodes, pieces._NEVER)
+    value[0] = 0
+    by = pieces._relax(target, source, target, np.array([-5, -9, -4, -1, -3, -2]), value, source)
+    assert value[[1, 2, nodes - 2, nodes - 1]].tolist() == [-5, -8, -9, -11]
+    assert by[[1, 2, nodes - 2, nodes - 1]].tolist() == [0, 4, 2, 5]
+
+
 def test_pieces_round_trip(spark, vocabulary, odd_docs):
     keep = ["doc_id", "lang", "n_lines", "text"]
     back = pieces.decode(pieces.encode(odd_docs, vocabulary, keep), vocabulary, keep).collect()
