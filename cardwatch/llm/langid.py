@@ -82,17 +82,18 @@ def _fit_bits(x: np.ndarray, signs: np.ndarray, steps: int = 200, decay: float =
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
           per_language: int = PER_LANGUAGE, all_rows: int = ALL_ROWS) -> Model:
     """Fit on a sample of the labelled rows: about ``per_language`` of each language, about
-    ``all_rows`` in all (the documented bound). Rows without text or language take no part."""
+    ``all_rows`` in all (the documented bound). Rows without text or language take no part; rows of
+    the same key, text and language count as one, other rows of a key are drawn on their own."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key"))
-    rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL").withColumn("draw", F.xxhash64("key", "text", F.lit("langid")))
+    counts = {r["lang"]: max(1, r["n"]) for r in rows.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).collect()}
     languages = sorted(counts)
     codes = codewords(len(languages))
     if len(languages) < 2:
         return Model(languages, codes, np.zeros((0, BUCKETS)), np.zeros(0), np.zeros(0))
     most = max(20, min(per_language, all_rows // len(languages)))
     share = F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, most / counts[k]))])
-    drawn = F.pmod(F.xxhash64(F.col("key"), F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
+    drawn = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,14 +101,15 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
                 bucket, offsets = trigrams(text_bytes(part.column("text")))
                 found = [np.unique(bucket[a:b], return_counts=True) for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("lang"), part.column("key").cast(pa.string()),
+                    [part.column("lang"), part.column("key").cast(pa.string()), part.column("draw"),
                      pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())),
                      pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32()))],
-                    ["lang", "key", "bucket", "n"])
+                    ["lang", "key", "draw", "bucket", "n"])
 
-    sample = rows.filter(drawn < share[F.col("lang")]).mapInArrow(
-        counted, "lang string, key string, bucket array<int>, n array<float>").toPandas()
-    sample = sample.sort_values(["key", "lang"], ignore_index=True)
+    # copies collapse before they are collected, however many there are
+    sample = rows.filter(drawn < share[F.col("lang")]).dropDuplicates(["lang", "key", "text"]).mapInArrow(
+        counted, "lang string, key string, draw long, bucket array<int>, n array<float>").toPandas()
+    sample = sample.sort_values(["key", "lang", "draw"], ignore_index=True)
     x = np.zeros((len(sample), BUCKETS), np.float32)
     for i, (at, n) in enumerate(zip(sample["bucket"], sample["n"])):
         x[i, at] = n

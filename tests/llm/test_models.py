@@ -96,6 +96,20 @@ def test_language_held_out(spark, odd_docs):
     assert {r.lang_pred for r in langid.predict(odd_docs, none, ["doc_id"]).collect()} == {"und"}
 
 
+def test_language_sample_of_one_id(spark, monkeypatch):
+    """A key that all rows share, or copies of one row, neither swell nor empty the sample."""
+    sizes, fit = [], langid._fit_bits
+    monkeypatch.setattr(langid, "_fit_bits", lambda x, signs: sizes.append(np.unique(signs, axis=0, return_counts=True)[1]) or fit(x, signs, 2))
+    words = {"en": "the house of one", "fr": "une maison du nord"}
+    for key in ("7", "NULL", "id"):
+        rows = spark.range(4000).selectExpr(f"CAST({key} AS long) AS doc_id", "IF(id % 2 = 0, 'en', 'fr') AS lang",
+                                            f"IF(id % 2 = 0, '{words['en']} ', '{words['fr']} ') || repeat('x', id % 97) || id AS text")
+        copies = spark.range(3000).selectExpr("CAST(9 AS long) AS doc_id", "'en' AS lang", "'of the one' AS text")
+        sizes.clear()
+        langid.train(rows.unionByName(copies), per_language=200)
+        assert len(sizes[-1]) == 2 and all(140 < n < 260 for n in sizes[-1])
+
+
 def test_codewords_differ():
     for n in (2, 4, 7, 12):
         codes = langid.codewords(n)
