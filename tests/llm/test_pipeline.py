@@ -94,6 +94,26 @@ def _rows(df):
     return sorted(map(tuple, df.select("doc_id", "text", "lang", "source", "n_chars").collect()), key=repr)
 
 
+def test_stages_and_run(spark, docs, tmp_path):
+    folder, v = str(tmp_path), pieces.load()
+    spark.createDataFrame(docs, SCHEMA).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    m = langid.train(table.filter(~langid.held_out(table.doc_id)))
+    rows = docs
+    for (_, stage), plain in zip(corpus_pipeline.STAGES, (lambda r: _language(r, m), _lines, _near, _benchmarks)):
+        want = plain(rows)
+        assert _rows(stage(spark, spark.createDataFrame(rows, SCHEMA), folder)) == sorted(want, key=repr)
+        assert _rows(stage(spark, spark.createDataFrame(docs, SCHEMA), folder)) == sorted(plain(docs), key=repr)
+        assert want != rows  # every stage has something to do
+        rows = want
+    out = corpus_pipeline.run(spark, folder)
+    assert _rows(out) == sorted(rows, key=repr)
+    for r in out.collect():
+        best = pieces.n_best(" " + r.text, v, 1)[0][0]
+        assert round(r.score * pieces.UNIT) == best and pieces.decoded(np.array(r.ids), v) == r.text.encode()
+
+
 def test_near_duplicates_go_by_text(spark, docs):
     got = [_rows(corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(docs, SCHEMA).repartition(n), "")) for n in (1, 5)]
     assert got[0] == got[1] == sorted(_near(docs), key=repr)
