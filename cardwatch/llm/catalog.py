@@ -1,7 +1,7 @@
 """Queries of the subpackage and, where SQL can say it, the same as DuckDB SQL."""
 from __future__ import annotations
 
-from cardwatch.llm import decontaminate, jaccard, langid, linededup, permindex, pieces, suffixdedup, toxicity, urlfilter, warc
+from cardwatch.llm import decontaminate, jaccard, langid, linededup, permindex, pieces, sourcemix, suffixdedup, toxicity, urlfilter, warc
 
 CATALOG = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -14,6 +14,7 @@ CATALOG = {
     "op8_url_filter": urlfilter.op8_url_filter,
     "op9_suffix_dedup": suffixdedup.op9_suffix_dedup,
     "op10_toxicity_pu": toxicity.op10_toxicity_pu,
+    "op13_source_mix": sourcemix.op13_source_mix,
 }
 
 SQL = {
@@ -22,4 +23,5 @@ SQL = {
     "op7_warc_zip": warc.SQL,
     "op8_url_filter": urlfilter.SQL,
     "op9_suffix_dedup": suffixdedup.SQL,
+    "op13_source_mix": sourcemix.SQL,
 }
