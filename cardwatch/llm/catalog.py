@@ -1,7 +1,9 @@
 """Queries of the subpackage and, where SQL can say it, the same as DuckDB SQL."""
 from __future__ import annotations
 
-from cardwatch.llm import decontaminate, jaccard, langid, linededup, permindex, pieces, sourcemix, suffixdedup, toxicity, urlfilter, warc
+from cardwatch.llm import (
+    decontaminate, hardneg, jaccard, langid, linededup, permindex, pieces, sourcemix, suffixdedup, toxicity, urlfilter, warc,
+)
 
 CATALOG = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -14,6 +16,7 @@ CATALOG = {
     "op8_url_filter": urlfilter.op8_url_filter,
     "op9_suffix_dedup": suffixdedup.op9_suffix_dedup,
     "op10_toxicity_pu": toxicity.op10_toxicity_pu,
+    "op12_hard_negatives": hardneg.op12_hard_negatives,
     "op13_source_mix": sourcemix.op13_source_mix,
 }
 
@@ -23,5 +26,6 @@ SQL = {
     "op7_warc_zip": warc.SQL,
     "op8_url_filter": urlfilter.SQL,
     "op9_suffix_dedup": suffixdedup.SQL,
+    "op12_hard_negatives": hardneg.SQL,
     "op13_source_mix": sourcemix.SQL,
 }
