@@ -260,5 +260,5 @@ p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s
 SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, other_id AS negative_id,
     positive_score, score AS negative_score
 FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
-QUALIFY row_number() OVER best <= 10
-WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)"""
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER best <= 10"""
