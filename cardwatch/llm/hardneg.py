@@ -249,9 +249,9 @@ def op12_hard_negatives(spark, folder: str) -> DataFrame:
 
 SQL = """
 WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
     CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
   FROM r AS a JOIN r AS b ON a.vec_id % 100 = 0 AND a.vec_id != b.vec_id),
