@@ -2,7 +2,8 @@
 from __future__ import annotations
 
 from cardwatch.llm import (
-    decontaminate, hardneg, jaccard, langid, linededup, permindex, pieces, sourcemix, suffixdedup, toxicity, urlfilter, warc,
+    conversations, decontaminate, hardneg, jaccard, langid, linededup, permindex, pieces, sourcemix, suffixdedup, toxicity,
+    urlfilter, warc,
 )
 
 CATALOG = {
@@ -16,6 +17,7 @@ CATALOG = {
     "op8_url_filter": urlfilter.op8_url_filter,
     "op9_suffix_dedup": suffixdedup.op9_suffix_dedup,
     "op10_toxicity_pu": toxicity.op10_toxicity_pu,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
     "op12_hard_negatives": hardneg.op12_hard_negatives,
     "op13_source_mix": sourcemix.op13_source_mix,
 }
@@ -26,6 +28,7 @@ SQL = {
     "op7_warc_zip": warc.SQL,
     "op8_url_filter": urlfilter.SQL,
     "op9_suffix_dedup": suffixdedup.SQL,
+    "op11_conversation_repair": conversations.SQL,
     "op12_hard_negatives": hardneg.SQL,
     "op13_source_mix": sourcemix.SQL,
 }
