@@ -73,4 +73,24 @@ def saved(df, name: str = "table"):
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._saved_path = path
+    return out
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def discard(df) -> None:
+    """Remove a table that ``saved`` returned, once nothing will read it again."""
+    path = getattr(df, "_saved_path", None)
+    if path:
+        store, target = _file_system(df.sparkSession, path)
+        store.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, target = _file_system(spark, path)
+    return store.exists(target)
