@@ -187,6 +187,10 @@ def packed(df: DataFrame, columns: list[str], edges: list[np.ndarray], label: st
         F.col(key).cast("bigint").alias("id"), F.col(label).cast("double").alias("y"),
         (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"), *[F.col(c).cast("double").alias(c) for c in columns])
 
+    # dealt by id, so that blocks are even and the same whatever the input's partitions are
+    tasks = min(max(1, -(-df.count() // block)), 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.repartition(tasks, "id").sortWithinPartitions("id")
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 

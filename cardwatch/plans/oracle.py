@@ -481,6 +481,28 @@ scored AS (SELECT id, fraud_probability >= 0.5 AS is_fraud, fraud_probability,
 FROM p)"""
 
 
+def _boosting_round() -> str:
+    """Rate 0.3, L1 2, L2 5, least hessian 1, margin 0; the positive class weighs negatives / positives."""
+    columns = ["amt_band", "trans_hour", "trans_month", "trans_weekday", "is_weekend", "is_night", "gender_encoded"]
+    values = "[" + ", ".join(f"{{'c': {i}, 'v': CAST({c} AS BIGINT)}}" for i, c in enumerate(columns)) + "]"
+    shrunk = lambda g: f"sign({g}) * greatest(abs({g}) - 2.0e0, 0)"
+    part = lambda g, h: f"power({shrunk(g)}, 2) / ({h} + 5.0e0)"
+    leaf = lambda g, h: f"-0.3e0 * {shrunk(g)} / ({h} + 5.0e0)"
+    return sql(f"""{FEAT}, banded AS (SELECT *, floor(amt / 25) AS amt_band FROM feat),
+weighed AS (SELECT *, CASE WHEN is_fraud = 1 THEN (SELECT sum(1 - is_fraud) / sum(is_fraud)::DOUBLE FROM banded WHERE split = 'train')
+  ELSE 1.0e0 END AS w FROM banded WHERE split = 'train'),
+cells AS (SELECT x.c AS c, x.v AS v, sum((0.5e0 - is_fraud) * w) AS g, sum(0.25e0 * w) AS h
+  FROM (SELECT is_fraud, w, unnest({values}) AS x FROM weighed) GROUP BY 1, 2),
+below AS (SELECT c, v, sum(g) OVER upto AS gl, sum(h) OVER upto AS hl, sum(g) OVER whole - sum(g) OVER upto AS gr,
+    sum(h) OVER whole - sum(h) OVER upto AS hr, sum(g) OVER whole AS g, sum(h) OVER whole AS h
+  FROM cells WINDOW upto AS (PARTITION BY c ORDER BY v), whole AS (PARTITION BY c)),
+best AS (SELECT *, {part('gl', 'hl')} + {part('gr', 'hr')} - {part('g', 'h')} AS gain FROM below
+  WHERE hl >= 1 AND hr >= 1 ORDER BY gain DESC, c, v LIMIT 1),
+scored AS (SELECT id, is_fraud AS label, 1.0e0 / (1.0e0 + exp(-(CASE WHEN {values}[c + 1].v <= v THEN {leaf('gl', 'hl')} ELSE {leaf('gr', 'hr')} END))) AS score
+  FROM banded, best WHERE split = 'test')""",
+               "SELECT id, label, score, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FROM scored", ["score"], 9)
+
+
 def oracle() -> dict[str, str]:
     tx = ", ".join(TX_COLUMNS)
     shap_ctes, shap = _linear_shap()
@@ -628,6 +650,7 @@ folded AS ({folds('train', 3, 'id, is_fraud')}), turns AS (SELECT CAST(unnest(ra
             [f"v{i:02d}" for i in range(len(FEATURES))]),
         "m_model_table": sql(CODED, f"SELECT {', '.join(modelled)}, is_fraud, split AS part FROM coded", ["amt", *cyclic]),
         "e_grad_ascent": sql(ascent([4.0]) + f", long AS ({_ascent_long([4.0])})", "SELECT * FROM long", ["coefficient"], 9),
+        "e_boosting_round": _boosting_round(),
         "e_loglik": sql(FEAT, f"""SELECT sum((is_fraud - 1) * s - CASE WHEN s >= 0 THEN ln(1 + exp(-s)) ELSE ln(1 + exp(s)) - s END)
   - 10.0e0 * ({' + '.join(f'{w!r}::DOUBLE * {w!r}::DOUBLE' for c, w in cat.LINEAR.items() if c != 'amt')}) AS log_likelihood
 FROM (SELECT is_fraud, {linear(cat.LINEAR)} AS s FROM feat WHERE split = 'train')""", ["log_likelihood"], 4),

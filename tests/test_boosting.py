@@ -106,3 +106,36 @@ def test_edges_and_odd_tables(spark):
     assert model.predictions(df.limit(3)).select("score").distinct().collect()[0][0] == 0.5
     one_class = boosting.fit_boosted(df.withColumn("is_fraud", F.lit(1)), ["few"], Params(n_estimators=2, scale_pos_weight=None))
     assert one_class.predictions(df).agg(F.min("score")).first()[0] > 0.5
+
+
+def test_search_scores_prefixes_and_goes_on_from_its_ledger(spark, sample, monkeypatch):
+    from cardwatch.operators.resample import stratified_folds
+    from cardwatch.plans import boosted
+    from cardwatch.session import scratch_path
+
+    df, ledger = sample[0].drop("fold"), scratch_path(spark, "ledger")
+    points = [{"n_estimators": n, "max_depth": d, "learning_rate": 0.2, "class_weight": "balanced"} for d in (1, 3) for n in (2, 5)]
+    grown = []
+    grow = boosting.grow
+    monkeypatch.setattr(boosting, "grow", lambda blocks, fits, *rest, **more: (grown.append(len(fits)), grow(blocks, fits, *rest, **more)))
+    options = {"folds": 2, "columns": NAMES, "ledger": ledger}
+    ranked, report = boosted.search(df, points[:3], **options)
+    again, more = boosted.search(df, points, **options)
+    assert grown == [4, 2]  # two shared fits a fold; then only what the ledger does not have
+    assert boosted.search(df, points, **options)[1].collect() == more.collect() and grown == [4, 2]
+    scores = {r.params: r.mean_score for r in more.collect()}
+    assert all(scores[r.params] == r.mean_score for r in report.collect()) and len(scores) == 4 and again[0] in points
+
+    folded = stratified_folds(df, 2).cache()
+    want = []
+    for fold in range(2):
+        weight = df.where("is_fraud = 0").count() / df.where("is_fraud = 1").count()
+        own = boosted.params_of(points[3])
+        model = boosting.fit_boosted(folded.where(F.col("fold") != fold), NAMES, boosting.resolved(own, weight))
+        row = model.predictions(folded.where(F.col("fold") == fold)).selectExpr(
+            "2 * count_if(prediction = 1 AND label = 1) / (count_if(prediction = 1) + count_if(label = 1)) AS f1").first()
+        want.append(row.f1)
+    import json
+    assert scores[json.dumps(points[3])] == pytest.approx(np.mean(want), abs=1e-9)
+    folds = boosted.cross_validate(df, own, 2, NAMES).orderBy("fold").collect()
+    assert [r.f1 for r in folds] == pytest.approx(want, abs=1e-9)
