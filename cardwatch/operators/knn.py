@@ -6,7 +6,9 @@
    they steer the load and never the result.
 3. Each box finds the best neighbours inside itself. The distance of the (k + 1)-th is an upper
    bound, so a vector has to visit only the boxes that this ball touches.
-4. A visit is one task-sized group: the vectors of one box against the callers from one box.
+4. Boxes are visited in rounds, nearest first, twice as many a round. The best found so far are saved
+   after a round and shrink the ball, so that boxes farther off drop out unvisited.
+5. A visit is one task-sized group: the vectors of one box against the callers from one box.
 
 Squared distances are added column by column in the given order, so that equal inputs give
 bit-equal distances everywhere and ties fall to the smaller id.
@@ -19,12 +21,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cardwatch.session import checkpointed
+from cardwatch.session import checkpointed, discard, saved
 
 LEAF_SIZE = 2048
 MAX_LEAVES = 16384
 SAMPLE_PER_LEAF = 8
 CHUNK_CELLS = 4_000_000
+#: Boxes a vector visits in the first round.
+FIRST_VISITS = 4
 
 
 @dataclass
@@ -134,13 +138,82 @@ def _best(queries: np.ndarray, points: np.ndarray, ids: pd.Series, keep: int, ra
         yield begin + row[nearest], far[nearest], found[nearest]
 
 
+def _next_boxes(shared, done: int, visits: int):
+    """The boxes at places done, done + 1, ... in order of nearness that a vector's ball still touches."""
+    def run(parts):
+        cuts = shared.value
+        chunk = max(1, CHUNK_CELLS // cuts.count)
+        for part in parts:
+            for begin in range(0, len(part), chunk):
+                rows = part.iloc[begin:begin + chunk]
+                far = cuts.distance2(_matrix(rows["x"]))
+                far[np.arange(len(rows)), rows["leaf"].to_numpy()] = -1.0  # its own box is first, and done
+                touched = far <= rows["radius"].to_numpy()[:, None]
+                targets = []
+                for distance, near in zip(far, touched):
+                    found = np.flatnonzero(near)
+                    found = found[np.argsort(distance[found], kind="stable")]
+                    targets.append(found[1 + done:1 + done + visits].astype("int32"))
+                yield pd.DataFrame({
+                    "vid": rows["vid"], "x": rows["x"], "radius": rows["radius"], "source": rows["leaf"], "targets": targets})
+
+    return run
+
+
+def _visit_rounds(best: DataFrame, placed: DataFrame, shared, keep: int, visited: list[int]) -> DataFrame:
+    """Take (vid, x, leaf, radius, best) to the best of all boxes.
+
+    A ball only shrinks, so the boxes it touches keep their places in a vector's order, and each round
+    takes up where the last one stopped. The state is saved every round; the one before is removed.
+    """
+    state, done, visits = saved(best, "nearest"), 0, FIRST_VISITS
+    while True:
+        asked = state.mapInPandas(
+            _next_boxes(shared, done, visits),
+            "vid bigint, x array<double>, radius double, source int, targets array<int>")
+        calls = saved(asked.select("vid", "x", "radius", "source", F.explode("targets").alias("target")), "calls")
+        visited.append(calls.count())
+        if not visited[-1]:
+            discard(calls)
+            return state
+        routes = calls.select(F.col("source").alias("caller"), F.col("target").alias("host")).distinct()
+        hosts = placed.select("x", "ids", F.col("leaf").alias("host")).join(routes, "host")
+
+        def visit(callers: pd.DataFrame, hosted: pd.DataFrame) -> pd.DataFrame:
+            out = []
+            if len(callers) and len(hosted):
+                out = list(_best(_matrix(callers["x"]), _matrix(hosted["x"]), hosted["ids"],
+                                 keep, callers["radius"].to_numpy()))
+            if not out:
+                return pd.DataFrame({"vid": [], "d": [], "i": []})
+            row, d, ids = (np.concatenate(c) for c in zip(*out))
+            return pd.DataFrame({"vid": callers["vid"].to_numpy()[row], "d": d, "i": ids})
+
+        remote = (
+            calls.groupBy("source", "target").cogroup(hosts.groupBy("caller", "host"))
+            .applyInPandas(visit, "vid bigint, d double, i bigint")
+        )
+        nearest = F.row_number().over(Window.partitionBy("vid").orderBy("d", "i"))
+        met = (remote.withColumn("_r", nearest).where(F.col("_r") <= keep)
+               .groupBy("vid").agg(F.collect_list(F.struct("d", "i")).alias("met")))
+        merged = F.slice(F.array_sort(F.concat("best", F.coalesce("met", F.array().cast(best.schema["best"].dataType)))), 1, keep)
+        ball = F.when(F.size("best") == keep, F.element_at("best", keep)["d"]).otherwise(float("inf"))
+        fresh = saved(
+            state.join(met, "vid", "left").withColumn("best", merged).withColumn("radius", ball)
+            .select(*best.columns), "nearest")
+        discard(state)
+        discard(calls)
+        state, done, visits = fresh, done + visits, 2 * visits
+
+
 def nearest_neighbours(
-    df: DataFrame, key: str, columns: list[str], k: int = 5, leaf_size: int = LEAF_SIZE
+    df: DataFrame, key: str, columns: list[str], k: int = 5, leaf_size: int = LEAF_SIZE,
+    visited: list[int] | None = None,
 ) -> DataFrame:
     """k nearest other rows of every row: (id, rank, neighbour_id, distance2).
 
     ``key`` is a unique whole number; the columns must be complete. Equal distances rank by
-    neighbour id.
+    neighbour id. ``visited`` receives the number of box visits of each round.
     """
     keep = k + 1  # a row finds itself among its neighbours
     # + 0.0 turns -0.0 into 0.0, so that copies compare equal
@@ -179,55 +252,13 @@ def nearest_neighbours(
         last = np.cumsum(np.bincount(row, minlength=len(x)))  # a row finds itself at least
         radius = np.where(np.diff(last, prepend=0) == keep, d[last - 1], np.inf)
         far, found = np.split(d, last[:-1]), np.split(ids, last[:-1])
-        visits = []
-        chunk = max(1, CHUNK_CELLS // cuts.count)
-        for begin in range(0, len(x), chunk):
-            touched = cuts.distance2(x[begin:begin + chunk]) <= radius[begin:begin + chunk, None]
-            touched[:, own] = False
-            visits.extend(np.nonzero(t)[0].astype("int32") for t in touched)
-        return pd.DataFrame({"vid": part["vid"], "x": part["x"], "leaf": own, "radius": radius,
-                             "d": far, "i": found, "visits": visits})
-
-    local = placed.groupBy("leaf").applyInPandas(
-        inside, "vid bigint, x array<double>, leaf int, radius double, d array<double>, "
-                "i array<bigint>, visits array<int>",
-    )
-    found = "vid bigint, d double, i bigint"
-    if boxes.count > 1:
-        local = checkpointed(local)
-        calls = local.select(
-            "vid", "x", "radius", F.col("leaf").alias("source"), F.explode("visits").alias("target")
-        )
-        routes = calls.select(
-            F.col("source").alias("caller"), F.col("target").alias("host")
-        ).distinct()
-        hosts = placed.select("x", "ids", F.col("leaf").alias("host")).join(routes, "host")
-
-        def visit(callers: pd.DataFrame, hosted: pd.DataFrame) -> pd.DataFrame:
-            out = []
-            if len(callers) and len(hosted):
-                out = list(_best(_matrix(callers["x"]), _matrix(hosted["x"]), hosted["ids"],
-                                 keep, callers["radius"].to_numpy()))
-            if not out:
-                return pd.DataFrame({"vid": [], "d": [], "i": []})
-            row, d, ids = (np.concatenate(c) for c in zip(*out))
-            return pd.DataFrame({"vid": callers["vid"].to_numpy()[row], "d": d, "i": ids})
+        best = [[{"d": a, "i": b} for a, b in zip(*pair)] for pair in zip(far, found)]
+        return pd.DataFrame({"vid": part["vid"], "x": part["x"], "leaf": own, "radius": radius, "best": best})
 
-        remote = (
-            calls.groupBy("source", "target").cogroup(hosts.groupBy("caller", "host"))
-            .applyInPandas(visit, found)
-        )
-        own = local.select("vid", F.explode(F.arrays_zip("d", "i")).alias("b")).select(
-            "vid", "b.d", "b.i"
-        )
-        nearest = Window.partitionBy("vid").orderBy("d", "i")
-        best = (
-            own.unionByName(remote).withColumn("_r", F.row_number().over(nearest))
-            .where(F.col("_r") <= keep)
-            .groupBy("vid").agg(F.sort_array(F.collect_list(F.struct("d", "i"))).alias("best"))
-        )
-    else:
-        best = local.select("vid", F.arrays_zip("d", "i").alias("best"))
+    state_type = "vid bigint, x array<double>, leaf int, radius double, best array<struct<d: double, i: bigint>>"
+    best = placed.groupBy("leaf").applyInPandas(inside, state_type)
+    if boxes.count > 1:
+        best = _visit_rounds(best, placed, shared, keep, [] if visited is None else visited)
     by_vector = vectors.select("vid", F.col("x").alias("_x")).join(best, "vid").select("_x", "best")
     others = F.slice(F.filter("best", lambda b: b["i"] != F.col("id")), 1, k)
     return (

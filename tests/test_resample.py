@@ -137,3 +137,23 @@ def test_scaling_uses_the_population_deviation(spark):
     values = np.array([1.0, 2, 3, 4])
     assert [r.x for r in rows] == pytest.approx(list((values - 2.5) / values.std()))
     assert [r.k for r in rows] == [0.0] * 4
+
+
+def test_neighbours_in_many_columns_visit_few_boxes(spark):
+    import numpy as np
+
+    draw = np.random.default_rng(8)
+    centres = draw.normal(size=(40, 20)) * 3
+    x = centres[draw.integers(0, 40, 3000)] + draw.normal(size=(3000, 20)) * 0.4
+    x[:30] = x[0]
+    x = (x - x.mean(0)) / x.std(0)
+    names = [f"c{i}" for i in range(20)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, " + ", ".join(f"{n} double" for n in names))
+    visited = []
+    got = knn.nearest_neighbours(df, "id", names, 5, leaf_size=30, visited=visited).collect()
+    assert sum(visited) < 3000 * 100 / 5 and visited[-1] == 0 and len(visited) > 2
+    far = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2)
+    np.fill_diagonal(far, np.inf)
+    for i in range(0, 3000, 50):
+        mine = [r.neighbour_id for r in sorted((r for r in got if r.id == i), key=lambda r: r.rank)]
+        assert sorted(far[i][mine]) == pytest.approx(sorted(far[i])[:5]) and mine == sorted(mine, key=lambda j: (round(far[i][j], 9), j))
