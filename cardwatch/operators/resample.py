@@ -5,7 +5,7 @@ partitioning and a lost task redraws the same rows.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from cardwatch.functions.checks import ratio
@@ -53,6 +53,17 @@ def fold_split(df: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col("fold") != fold), df.where(F.col("fold") == fold)
 
 
+def fold_sizes(folded: DataFrame, label: str = LABEL) -> DataFrame:
+    """(fold, part, n, n1): rows and positives of both parts of every fold, from one pass."""
+    own = folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("n1"))
+    everything = Window.partitionBy(F.lit(0))  # one row per fold
+    rest = {f"rest_{c}": F.sum(c).over(everything) - F.col(c) for c in ("n", "n1")}
+    parts = F.array(
+        F.struct(F.lit("train").alias("part"), F.col("rest_n").alias("n"), F.col("rest_n1").alias("n1")),
+        F.struct(F.lit("validation").alias("part"), F.col("n").alias("n"), F.col("n1").alias("n1")))
+    return own.withColumns(rest).select("fold", F.explode(parts).alias("p")).select("fold", "p.*")
+
+
 def class_sizes(df: DataFrame, label: str = LABEL) -> tuple[int, int]:
     row = df.agg(
         F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")

@@ -131,7 +131,7 @@ def s_parse_failures(spark, folder):
         F.expr("CASE WHEN id % 70 = 1 THEN '31.12.1999' ELSE date_format(dob, 'yyyy-MM-dd') END")
         .alias("dob"),
     )
-    return files.parse_failures(raw, files.parse_times(raw), ["trans_date_trans_time", "dob"])
+    return files.count_failures(raw, ["trans_date_trans_time"], ["dob"])
 
 
 @query
@@ -147,7 +147,7 @@ def s_quarantine(spark, folder):
         F.expr("CASE WHEN id % 89 = 0 THEN 'many' ELSE CAST(city_pop AS STRING) END")
         .alias("city_pop"),
     ).write.option("header", True).csv(path)
-    good, bad = files.quarantine(files.read_checked(spark, path, schema), ["id"])
+    good, bad, _ = files.set_aside(files.read_checked(spark, path, schema), scratch_path(spark, "checked"), ["id"])
     return good.select("id", F.lit("good").alias("status"), "amt", "city_pop").unionByName(
         bad.select(
             F.split(files.CORRUPT, ",")[0].cast("bigint").alias("id"),
@@ -188,6 +188,21 @@ def s_registry(spark, folder):
     return store.latest_runs(store.registry(spark, root)).drop("saved_at", "features")
 
 
+@query
+def s_registry_log(spark, folder):
+    """Two runs of fixed formulas, the first one saved twice: the newest row per model, and its runs."""
+    info = {"model_type": "formula", "num_features": len(FEATURES), "features": FEATURES[:10], "scaler_available": False}
+    scores, root = _model_scores(spark, folder), scratch_path(spark, "registry")
+    for run, part, models in (("run-1", "train", ["logistic_regression", "random_forest", "gradient_boosting"]),
+                              ("run-2", "test", ["random_forest", "gradient_boosting"]),
+                              ("run-1", "test", ["logistic_regression", "random_forest"])):
+        results = evaluate.full_metrics(scores.where(F.col("model").isin(models) & (F.col("split") == part)))
+        store.write_summary(evaluate.comparison(results), {m: info for m in models}, models[0], root, run)
+    rows = store.registry(spark, root)
+    runs = rows.groupBy("model").agg(F.count(F.lit(1)).alias("runs"))
+    return rounded(store.latest_runs(rows).drop("saved_at", "features").join(runs, "model"))
+
+
 @query
 def s_summary(spark, folder):
     """Results of three fixed scores written as a run summary and read back."""
@@ -674,13 +689,7 @@ def m_folds(spark, folder):
 def m_fold_split(spark, folder):
     """Size and positives of the training and validation part of every fold."""
     train, _ = _parts(spark, folder)
-    folded = resample.stratified_folds(train, 3)
-    parts = []
-    for i in range(3):
-        for name, part in zip(("train", "validation"), resample.fold_split(folded, i)):
-            parts.append(part.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(LABEL) == 1).alias("n1"))
-                         .select(F.lit(i).alias("fold"), F.lit(name).alias("part"), "n", "n1"))
-    return joins.union_all(*parts)
+    return resample.fold_sizes(resample.stratified_folds(train, 3))
 
 
 @query
@@ -1013,10 +1022,20 @@ def d_risk_summary(spark, folder):
     )))
 
 
-@query
-def d_stream_rate(spark, folder):
-    """Share of high-value events per hour; hours the watermark has passed are final."""
+def _event_rates(spark, folder):
     source = stream.file_stream(spark, folder, SCHEMAS["events"], "events.parquet").withColumn(
         "flag", (F.col("value") > 100).cast("int")
     )
-    return rounded(stream.drain(stream.hourly_rate(source, "ts", "flag")))
+    return stream.hourly_rate(source, "ts", "flag")
+
+
+@query
+def d_stream_rate(spark, folder):
+    """Share of high-value events per hour, the open hours at the end of the feed included."""
+    return rounded(stream.upsert_hours(_event_rates(spark, folder)))
+
+
+@query
+def d_stream_rate_final(spark, folder):
+    """The same, appended once the watermark has passed an hour, so that a row is final."""
+    return rounded(stream.drain(_event_rates(spark, folder)))

@@ -534,6 +534,12 @@ FROM (SELECT *, id % 97 = 0 OR id % 89 = 0 AS bad FROM transactions)"""),
         "s_summary": sql(TEST_RESULTS, f"""SELECT *, 'formula' AS model_type, 20 AS num_features,
   false AS scaler_available, model = (SELECT model FROM ({COMPARISON}) ORDER BY score DESC, model LIMIT 1) AS is_best,
   'run-1' AS run_id FROM ({COMPARISON})""", COMPARISON_FLOATS),
+        "s_registry_log": sql(f"{SCORES}, {metrics_ctes('scores', 'split, model')}", " UNION ALL ".join(
+            f"""SELECT *, 'formula' AS model_type, 20 AS num_features, false AS scaler_available, model = '{best}' AS is_best,
+  '{run}' AS run_id, CAST({runs} AS BIGINT) AS runs FROM ({COMPARISON} WHERE split = '{part}' AND model IN ({models}))"""
+            for best, run, runs, part, models in (
+                ("logistic_regression", "run-1", 1, "train", "'logistic_regression'"),
+                ("random_forest", "run-2", 2, "test", "'random_forest', 'gradient_boosting'"))), COMPARISON_FLOATS),
         "s_batch_score": sql(_scored_linear(), "SELECT * FROM scored", ["fraud_probability"]),
         "q_shape": sql(TX, """SELECT dataset, n_rows, 15::BIGINT AS n_columns,
   n_rows::DOUBLE / (SELECT count(*) FROM transactions WHERE split = 'train') AS share_of_first FROM (
@@ -697,6 +703,10 @@ swept AS (SELECT model, threshold, label, CASE WHEN score >= threshold THEN 1 EL
         "d_risk_summary": sql(_scored_linear(), """SELECT risk_level, count(*) AS n, avg(fraud_probability) AS mean_probability,
   count(*)::DOUBLE / (SELECT count(*) FROM scored) AS share FROM scored GROUP BY risk_level""", ["mean_probability", "share"]),
         "d_stream_rate": sql("hours AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS window_start, count(*) AS n, "
+                             "count(*) FILTER (WHERE value > 100) AS n_flagged FROM events WHERE ts IS NOT NULL GROUP BY 1)",
+                             "SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, n, n_flagged, n_flagged::DOUBLE / n AS rate "
+                             "FROM hours", ["rate"]),
+        "d_stream_rate_final": sql("hours AS (SELECT date_trunc('hour', ts)::TIMESTAMP AS window_start, count(*) AS n, "
                              "count(*) FILTER (WHERE value > 100) AS n_flagged FROM events GROUP BY 1)",
                              """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, n, n_flagged, n_flagged::DOUBLE / n AS rate
 FROM hours WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""", ["rate"]),

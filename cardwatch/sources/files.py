@@ -1,7 +1,7 @@
 """Reading transaction files and setting bad rows aside."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from cardwatch.schema import TRANSACTION
@@ -63,6 +63,16 @@ def parse_times(
     return df.withColumns(parsed)
 
 
+def count_failures(raw: DataFrame, timestamps=("trans_date_trans_time",), dates=("dob",)) -> DataFrame:
+    """(column, failed): texts that are present but do not parse, in one pass over the rows."""
+    broken = {c: F.col(c).isNotNull() & _wall_clock(F.col(c)).isNull() for c in timestamps}
+    broken |= {c: F.col(c).isNotNull() & _day(F.col(c)).isNull() for c in dates}
+    counted = raw.agg(*[F.count_if(b).alias(c) for c, b in broken.items()])
+    return counted.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("failed")) for c in broken
+    ])).alias("r")).select("r.*")
+
+
 def parse_failures(raw: DataFrame, parsed: DataFrame, columns: list[str], key: str = "id"
                    ) -> DataFrame:
     """Texts that were present but did not parse, counted per column."""
@@ -115,7 +125,29 @@ def read_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 def quarantine(checked: DataFrame, required: list[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Good rows, and bad rows with their text: broken values or missing required fields."""
+    bad = _is_bad(required)
+    return checked.where(~bad).drop(CORRUPT, ERRORS), checked.where(bad)
+
+
+def _is_bad(required: list[str]) -> Column:
     bad = F.size(ERRORS) > 0
     for c in required:
         bad = bad | F.col(c).isNull()
-    return checked.where(~bad).drop(CORRUPT, ERRORS), checked.where(bad)
+    return bad
+
+
+def set_aside(checked: DataFrame, path: str, required: list[str] = ()) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Good and bad rows as ``quarantine`` gives them, and their numbers, from one read of the source.
+
+    The rows are parsed and written once, in a folder per status, and counted as they pass; both
+    results read what was written.
+    """
+    seen = Observation()
+    status = F.when(_is_bad(required), "bad").otherwise("good")
+    marked = checked.withColumn("_status", status).observe(
+        seen, F.count_if(F.col("_status") == "good").alias("good"), F.count_if(F.col("_status") == "bad").alias("bad"))
+    marked.write.mode("overwrite").partitionBy("_status").parquet(path)
+    schema = T.StructType([*checked.schema.fields, T.StructField("_status", T.StringType())])
+    written = checked.sparkSession.read.schema(schema).parquet(path)
+    good = written.where("_status = 'good'").drop(CORRUPT, ERRORS, "_status")
+    return good, written.where("_status = 'bad'").drop("_status"), dict(seen.get)

@@ -5,6 +5,8 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StandardScalerModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cardwatch.session import exists
+
 
 def save_model(model: PipelineModel, root: str, run_id: str, name: str) -> str:
     """Encoder, scaler and classifier in one directory, so that they cannot drift apart."""
@@ -28,20 +30,41 @@ def model_info(model: PipelineModel, features: list[str]) -> dict:
 
 
 def write_summary(comparison: DataFrame, infos: dict[str, dict], best: str, root: str, run_id: str,
-                  ) -> None:
-    """One JSON row per model of a run: its metrics, its description, and whether it won."""
+                  ) -> bool:
+    """One JSON row per model of a run: its metrics, its description, and whether it won.
+
+    A run is written once: rows go to the run's own partition, in place of those of an attempt that
+    died, and the run counts from the moment its commit marker stands. Returns False, and writes
+    nothing, if the run is committed already.
+    """
     spark = comparison.sparkSession
+    if commits(spark, root).where(F.col("run_id") == run_id).count():
+        return False
     described = spark.createDataFrame(
         [(m, i["model_type"], i["num_features"], i["features"], i["scaler_available"], m == best)
          for m, i in infos.items()],
         "model string, model_type string, num_features int, features array<string>, "
         "scaler_available boolean, is_best boolean",
     )
-    (
-        comparison.join(described, "model", "left")
-        .withColumns({"run_id": F.lit(run_id), "saved_at": F.current_timestamp()})
-        .write.mode("append").partitionBy("run_id").json(f"{root}/runs")
-    )
+    rows = comparison.join(described, "model", "left").withColumns(
+        {"run_id": F.lit(run_id), "saved_at": F.current_timestamp()})
+    _put(rows, f"{root}/runs")
+    _put(spark.createDataFrame([(len(infos), run_id)], "models int, run_id string"), f"{root}/commits")
+    return True
+
+
+def _put(rows: DataFrame, path: str) -> None:
+    """Replace the partitions of the runs that ``rows`` holds, and no others."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").json(path))
+
+
+def commits(spark: SparkSession, root: str) -> DataFrame:
+    """(models, run_id) of every committed run."""
+    schema = "models int, run_id string"
+    if not exists(spark, f"{root}/commits"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(f"{root}/commits")
 
 
 SUMMARY_SCHEMA = (
@@ -54,8 +77,11 @@ SUMMARY_SCHEMA = (
 
 
 def registry(spark: SparkSession, root: str) -> DataFrame:
-    """All saved runs."""
-    return spark.read.schema(SUMMARY_SCHEMA).json(f"{root}/runs")
+    """The rows of all committed runs."""
+    committed = commits(spark, root).select("run_id")
+    if not exists(spark, f"{root}/runs"):
+        return spark.createDataFrame([], SUMMARY_SCHEMA)
+    return spark.read.schema(SUMMARY_SCHEMA).json(f"{root}/runs").join(committed, "run_id", "left_semi")
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from cardwatch.functions.checks import ratio
-from cardwatch.session import scratch_path
+from cardwatch.session import exists, scratch_path
 
 
 def file_stream(
@@ -73,3 +73,35 @@ def drain(stream: DataFrame, path: str | None = None, checkpoint: str | None = N
     )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
+
+
+def upsert_hours(rates: DataFrame, path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Process what is available of an hourly rate and return every hour so far, open ones included.
+
+    Each micro-batch writes the hours it changed to a folder of its own number. A batch that is run
+    again after a failure replaces that folder, so it changes nothing; the newest batch of an hour
+    holds. Later runs with the same folders go on where the last one stopped.
+    """
+    spark = rates.sparkSession
+    path = path or scratch_path(spark, "hours")
+    checkpoint = checkpoint or scratch_path(spark, "hours-state")
+
+    def put(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    query = (
+        rates.writeStream.outputMode("update").foreachBatch(put)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return hours_so_far(spark, path, rates.schema)
+
+
+def hours_so_far(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest row of every hour that the batches have written."""
+    columns = [f.name for f in schema if f.name != "window_start"]
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    written = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    return written.groupBy("window_start").agg(F.max_by(F.struct(*columns), "batch").alias("r")).select(
+        "window_start", "r.*")

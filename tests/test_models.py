@@ -202,3 +202,19 @@ def test_linear_shap_adds_up(view):
     joined = rows.join(view, "id").withColumn("s", F.col("amt") * 0.3 - F.col("city_pop") * 1e-5 + 0.7)
     assert joined.where(F.abs(F.col("phi") + F.col("base") - F.col("s")) > 1e-9).count() == 0
     assert explain.linear_shap(view, weights, rows=200).count() == 400
+
+
+def test_upserted_hours_hold_open_hours_and_replayed_batches(spark):
+    import datetime as dt
+    folder = scratch_path(spark, "feed")
+    at = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    for rows in ([(at(0), 1), (at(0, 30), 0), (at(1), 1)], [(at(1, 20), 0), (at(2), 1)]):
+        spark.createDataFrame(rows, "ts timestamp_ntz, flag int").coalesce(1).write.mode("append").parquet(folder)
+        rates = stream.hourly_rate(stream.file_stream(spark, folder, "ts timestamp_ntz, flag int"), "ts", "flag")
+        out = stream.upsert_hours(rates, f"{folder}-out", f"{folder}-state")
+    want = {0: (2, 1), 1: (2, 1), 2: (1, 1)}
+    assert {r.window_start.hour: (r.n, r.n_flagged) for r in out.collect()} == want
+    again = stream.hours_so_far(spark, f"{folder}-out", rates.schema)
+    again.where("hour(window_start) >= 1").write.mode("overwrite").parquet(f"{folder}-out/batch=1")  # batch 1 once more
+    assert {r.window_start.hour: (r.n, r.n_flagged) for r in stream.hours_so_far(spark, f"{folder}-out", rates.schema).collect()} == want
+    assert stream.hours_so_far(spark, f"{folder}-none", rates.schema).count() == 0

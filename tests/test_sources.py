@@ -1,11 +1,11 @@
 import datetime as dt
 
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from cardwatch.operators import joins, project
 from cardwatch.schema import REQUEST_DEFAULTS, TRANSACTION
 from cardwatch.session import scratch_path
-from cardwatch.sources import files
+from cardwatch.sources import files, store
 
 
 def write(spark, name, *lines):
@@ -87,3 +87,43 @@ def test_times_do_not_depend_on_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert [tuple(r) for r in got] == [("2024-03-10 02:30:00", "2024-03-10"), (None, None), (None, None), (None, None)]
+
+
+def _scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Scan ")
+
+
+def test_set_aside_and_failures_read_their_source_once(spark):
+    path = scratch_path(spark, "once")
+    raw = spark.range(200).selectExpr(
+        "CAST(id AS STRING) AS id", "IF(id % 10 = 0, 'bad', '2.5') AS amt",
+        "IF(id % 7 = 0, 'x', '2020-01-31 10:00:00') AS ts")
+    raw.write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("amt", T.DoubleType()),
+                           T.StructField("ts", T.TimestampNTZType())])
+    checked = files.read_checked(spark, path, schema)
+    good, bad, counts = files.set_aside(checked, scratch_path(spark, "aside"), ["id"])
+    want_good, want_bad = files.quarantine(checked, ["id"])
+    assert counts == {"good": good.count(), "bad": bad.count()} == {"good": 154, "bad": 46}
+    assert sorted(good.collect()) == sorted(want_good.collect()) and good.columns == ["id", "amt", "ts"]
+    assert sorted(map(str, bad.collect())) == sorted(map(str, want_bad.collect()))
+    assert path not in good._jdf.queryExecution().executedPlan().toString()
+    text = spark.read.schema("id string, amt string, ts string").option("header", True).csv(path)
+    failures = files.count_failures(text, ["ts"], [])
+    assert _scans(failures) == 1 and failures.collect()[0][:] == ("ts", 29)
+
+
+def test_a_run_is_written_once_and_counts_from_its_marker(spark):
+    root = scratch_path(spark, "log")
+    results = spark.createDataFrame([("a", 0.5), ("b", 0.7)], "model string, score double")
+    info = {m: {"model_type": "x", "num_features": 1, "features": ["f"], "scaler_available": False} for m in "ab"}
+    assert store.registry(spark, root).count() == 0
+    # an attempt that died before its marker is neither seen nor kept
+    store._put(results.withColumn("run_id", F.lit("r/1")), f"{root}/runs")
+    assert store.registry(spark, root).count() == 0
+    assert store.write_summary(results, info, "b", root, "r/1")
+    assert not store.write_summary(results.limit(1), info, "a", root, "r/1")
+    assert store.write_summary(results.limit(1), {"a": info["a"]}, "a", root, "r2")
+    rows = sorted((r.run_id, r.model, r.is_best) for r in store.registry(spark, root).collect())
+    assert rows == [("r/1", "a", False), ("r/1", "b", True), ("r2", "a", True)]
+    assert {r.model: r.run_id for r in store.latest_runs(store.registry(spark, root)).collect()} == {"a": "r2", "b": "r/1"}
