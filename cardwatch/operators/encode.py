@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cardwatch.operators.ordering import range_count
@@ -138,6 +139,27 @@ def one_hot(
     return df.withColumns(dummies).drop(*columns)
 
 
+def one_hot_vector(df: DataFrame, column: str, codes: DataFrame, name: str | None = None) -> DataFrame:
+    """One sparse vector of the column's dummies, for any number of levels.
+
+    ``codes`` is the column's dictionary; place j of the vector is the level of code j + 1, the first
+    level, nulls and unseen values are all zeros. The levels stay a distributed table that is joined;
+    the driver learns their number only.
+    """
+    from pyspark.ml.feature import OneHotEncoder
+
+    name, levels = name or f"{column}_vector", codes.count()
+    coded = apply_dictionary(df, column, codes, "keep", "_code_of")
+    if levels < 2:
+        empty = array_to_vector(F.array().cast("array<double>"))
+        return coded.withColumn(name, empty).drop("_code_of")
+    # whatever is no dummy goes to the extra place that the encoder adds for the unknown, and drops
+    place = F.when(F.col("_code_of").between(1, levels - 1), F.col("_code_of") - 1).otherwise(levels - 1)
+    encoder = OneHotEncoder(inputCol="_place", outputCol=name, handleInvalid="keep", dropLast=True)
+    sizes = df.sparkSession.createDataFrame([(float(levels - 2),)], "_place double")
+    return encoder.fit(sizes).transform(coded.withColumn("_place", place.cast("double"))).drop("_place", "_code_of")
+
+
 def scaler(df: DataFrame, columns: list[str]) -> Column:
     """Mean and population deviation of each column as one fitted struct."""
     return df.agg(F.struct(*[

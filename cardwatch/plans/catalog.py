@@ -650,6 +650,15 @@ def m_one_hot(spark, folder):
     return encode.one_hot(both, ["category"], levels)
 
 
+@query
+def m_one_hot_vector(spark, folder):
+    """The place of the one in each test row's merchant vector, -1 if it is all zeros."""
+    train, test = _parts(spark, folder)
+    coded = encode.one_hot_vector(test.select("id", "merchant"), "merchant", encode.dictionary("merchant", train))
+    cells = vector_to_array("merchant_vector")
+    return coded.select("id", F.size(cells).alias("size"), (F.array_position(cells, 1.0) - 1).alias("place"))
+
+
 @query
 def m_scale(spark, folder):
     rows = _enriched(spark, folder)

@@ -656,6 +656,10 @@ folded AS ({folds('train', 3, 'id, is_fraud')}), turns AS (SELECT CAST(unnest(ra
             [f"v{i:02d}" for i in range(len(FEATURES))]),
         "m_model_table": sql(CODED, f"SELECT {', '.join(modelled)}, is_fraud, split AS part FROM coded", ["amt", *cyclic]),
         "e_grad_ascent": sql(ascent([4.0]) + f", long AS ({_ascent_long([4.0])})", "SELECT * FROM long", ["coefficient"], 9),
+        "m_one_hot_vector": sql(f"""{TX}, codes AS (SELECT merchant, row_number() OVER (ORDER BY merchant) - 1 AS code
+  FROM (SELECT DISTINCT merchant FROM transactions WHERE split = 'train'))""",
+            """SELECT id, CAST((SELECT count(*) - 1 FROM codes) AS INT) AS size, coalesce(code - 1, -1) AS place
+FROM transactions LEFT JOIN codes USING (merchant) WHERE split = 'test'"""),
         "e_boosting_round": _boosting_round(),
         "e_loglik": sql(FEAT, f"""SELECT sum((is_fraud - 1) * s - CASE WHEN s >= 0 THEN ln(1 + exp(-s)) ELSE ln(1 + exp(s)) - s END)
   - 10.0e0 * ({' + '.join(f'{w!r}::DOUBLE * {w!r}::DOUBLE' for c, w in cat.LINEAR.items() if c != 'amt')}) AS log_likelihood

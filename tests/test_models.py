@@ -218,3 +218,29 @@ def test_upserted_hours_hold_open_hours_and_replayed_batches(spark):
     again.where("hour(window_start) >= 1").write.mode("overwrite").parquet(f"{folder}-out/batch=1")  # batch 1 once more
     assert {r.window_start.hour: (r.n, r.n_flagged) for r in stream.hours_so_far(spark, f"{folder}-out", rates.schema).collect()} == want
     assert stream.hours_so_far(spark, f"{folder}-none", rates.schema).count() == 0
+
+
+def test_attributions_of_deep_forests_add_up(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(260, 16))
+    y = ((x[:, :8].sum(axis=1) + rng.normal(size=260)) > 0).astype(int)
+    names = [f"c{i}" for i in range(16)]
+    df = spark.createDataFrame([(i, int(t), *map(float, r)) for i, (t, r) in enumerate(zip(y, x))],
+                               "id long, label int, " + ", ".join(f"{n} double" for n in names))
+    build = RandomForestClassifier(numTrees=100, maxDepth=30, featureSubsetStrategy="onethird", seed=1)
+    model = Pipeline(stages=[pipeline.assembler(names), build]).fit(df)
+    assert max(t.depth for t in model.stages[-1].trees) > 8
+    rows = explain.tree_shap(model, df, names, rows=40).groupBy("id").agg(
+        F.sum("phi").alias("phi"), F.max("base").alias("base"), F.max("output").alias("output"), F.count("*").alias("n"))
+    assert rows.count() == 40
+    assert rows.where("n != 16 OR abs(base + phi - output) > 1e-9").count() == 0
+
+
+def test_patterns_of_many_features_are_those_that_occur():
+    rng = np.random.default_rng(3)
+    for size in (3, 10, 11, 70):
+        hits = rng.random((4, 50, size)) < 0.02
+        leaf, bits, cell = explain._distinct(hits)
+        assert len(set(zip(leaf.tolist(), map(tuple, bits.astype(int).tolist())))) == len(leaf)
+        for i in range(4):
+            assert (leaf[cell[i]] == i).all() and (bits[cell[i]].astype(bool) == hits[i]).all()

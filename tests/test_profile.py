@@ -115,3 +115,16 @@ def test_rate_is_null_when_a_class_is_absent(spark):
     df = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (3, 1), (None, 1)], "h int, is_fraud int")
     assert {r.h: r.fraud_rate for r in eda.rate_by(df, "h").collect()} == {1: None, 2: None, 3: 0.5}
     assert {r.h: r.share_1 for r in eda.crosstab_rate(df, "h").collect()} == {1: 1.0, 2: 0.0, 3: 0.5}
+
+
+def test_one_hot_vectors_of_any_number_of_levels(spark):
+    from cardwatch.operators import encode
+
+    df = spark.range(100_000).selectExpr("id", "concat('v', lpad(id, 6, '0')) AS level")
+    codes = encode.dictionary("level", df)
+    asked = spark.createDataFrame([(1, "v000000"), (2, "v000001"), (3, "v099999"), (4, None), (5, "new")], "id long, level string")
+    rows = {r.id: r.level_vector for r in encode.one_hot_vector(asked, "level", codes).collect()}
+    assert all(v.size == 99_999 for v in rows.values())
+    assert {i: v.indices.tolist() for i, v in rows.items()} == {1: [], 2: [0], 3: [99_998], 4: [], 5: []}
+    one = encode.one_hot_vector(asked, "level", codes.limit(0)).collect()
+    assert len(one) == 5 and one[0].level_vector.size == 0
