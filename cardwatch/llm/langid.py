@@ -7,6 +7,7 @@ codewords of nearly the same loss make a prediction ambiguous.
 """
 from __future__ import annotations
 
+import re
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -91,7 +92,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     codes = codewords(len(languages))
     if len(languages) < 2:
         return Model(languages, codes, np.zeros((0, BUCKETS)), np.zeros(0), np.zeros(0))
-    most = max(20, min(per_language, all_rows // len(languages)))
+    most = max(1, min(per_language, all_rows // len(languages)))
     share = F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, most / counts[k]))])
     drawn = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
 
@@ -143,15 +144,21 @@ def losses(model: Model, texts: list[bytes]) -> np.ndarray:
     return (np.logaddexp(0, -margins) * model.trust).sum(2)
 
 
+def has_letter(text: str) -> bool:
+    """A letter as Unicode has it: numbers such as one half, and signs, are none."""
+    return any(found.group().isalpha() for found in _LETTER.finditer(text))
+
+
+_LETTER = re.compile(r"[^\W\d_]")
+
+
 def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The kept columns and lang_pred, score, second, ambiguous, from the whole text alone.
 
     ``und`` with score 0 (and not ambiguous) where the text is null or has no letter, or no
     language was learned. Ties go to the first language in sorted order.
     """
-    import re
-
-    letter, n = re.compile(r"[^\W\d_]"), len(keep)
+    n = len(keep)
     place = keep.index(text) if text in keep else n
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bits x BUCKETS numbers
 
@@ -160,7 +167,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
         for batch in batches:
             for part in slices(batch, place):
                 texts = part.column(place).to_pylist()
-                known = [i for i, t in enumerate(texts) if t and m.languages and letter.search(t)]
+                known = [i for i, t in enumerate(texts) if t and m.languages and has_letter(t)]
                 best, second = np.full(len(texts), -1), np.full(len(texts), -1)
                 score, close = np.zeros(len(texts)), np.zeros(len(texts), bool)
                 if known:

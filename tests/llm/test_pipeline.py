@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cardwatch.llm import langid, pieces
@@ -49,7 +50,7 @@ def _language(rows, m):
 
     kept = []
     for r in rows:
-        if r[1] and re.search(r"[^\W\d_]", r[1]):
+        if r[1] and any(c.isalpha() for c in r[1]):
             a, b = losses(r[1])[:2]
             kept += [r] if b - a >= langid.CLEAR else []
     return kept
@@ -119,3 +120,19 @@ def test_near_duplicates_go_by_text(spark, docs):
     assert got[0] == got[1] == sorted(_near(docs), key=repr)
     assert len([r for r in got[0] if r[0] == 3]) == len({r[1] for r in docs if r[0] == 3}) - 1  # one is a near copy
     assert corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame([], SCHEMA), "").count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark, docs):
+    extra = ["score", "ids", "items", "spans", "n_lines", "n_dropped", "n_words", "_row", "_lost", "_key", "_text", "c0", "lang_pred", "second"]
+    rows = spark.createDataFrame(docs[:20] + docs[-6:], SCHEMA)
+    wide = rows.withColumns({c: F.lit(f"own {c}") for c in extra})
+    for name, stage in corpus_pipeline.STAGES:
+        plain = stage(spark, rows, "/root/testdata/sf0.001")
+        got = stage(spark, wide, "/root/testdata/sf0.001")
+        assert got.columns[: len(wide.columns)] == wide.columns, name
+        assert all(r[c] == f"own {c}" for r in got.select(extra).collect() for c in extra), name
+        assert sorted(map(str, got.select(rows.columns).collect())) == sorted(map(str, plain.select(rows.columns).collect())), name
+
+
+def test_numbers_and_signs_are_no_letters():
+    assert not any(langid.has_letter(t) for t in ("½ ² ①② 12 _ …", "٣", "")) and langid.has_letter("½ é") and langid.has_letter("日")
