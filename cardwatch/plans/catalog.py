@@ -744,6 +744,30 @@ def e_gbt(spark, folder):
     return _fit_and_score(spark, folder, "gradient_boosting")
 
 
+@query
+def e_tree_stump(spark, folder):
+    """A balanced decision tree of depth one over columns of few values: the best Gini cut and its leaves' rates.
+
+    (Spark drops a cut whose leaves predict the same class, so balanced classes are needed to see one.)
+    """
+    rows = _enriched(spark, folder).withColumn("amt_band", F.floor(F.col("amt") / 25))
+    kind = training.KINDS["decision_tree"]
+    model = training.fit_table(kind, rows.where("split = 'train'"), {"max_depth": 1, "class_weight": "balanced"}, columns=ROUND_COLUMNS)
+    return rounded(training.predictions(model, rows.where("split = 'test'")), 9)
+
+
+@query
+def e_lr_dummies(spark, folder):
+    """A logistic model without penalty over the dummies of one column gives every level its own rate."""
+    rows = _enriched(spark, folder)
+    levels = {"period_of_day": encode.category_levels(rows.where("split = 'train'"), "period_of_day")}
+    wide = encode.one_hot(rows.select("id", "split", LABEL, "period_of_day"), ["period_of_day"], levels)
+    columns = [c for c in wide.columns if c not in ("id", "split", LABEL)]
+    params = {"C": 1e12, "max_iter": 500, "tol": 1e-12}
+    model = training.fit_table(training.KINDS["logistic_regression"], wide.where("split = 'train'"), params, columns=columns)
+    return rounded(training.predictions(model, wide.where("split = 'test'")), 5)
+
+
 @query
 def e_boosting(spark, folder):
     """Second-order boosted trees with their default parameters and balanced classes, on the test rows."""

@@ -503,6 +503,24 @@ scored AS (SELECT id, is_fraud AS label, 1.0e0 / (1.0e0 + exp(-(CASE WHEN {value
                "SELECT id, label, score, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FROM scored", ["score"], 9)
 
 
+def _stump() -> str:
+    """The cut of least summed Gini impurity with balanced classes, and the positive share on either side."""
+    columns = ["amt_band", "trans_hour", "trans_month", "trans_weekday", "is_weekend", "is_night", "gender_encoded"]
+    values = "[" + ", ".join(f"{{'c': {i}, 'v': CAST({c} AS BIGINT)}}" for i, c in enumerate(columns)) + "]"
+    return sql(f"""{FEAT}, banded AS (SELECT *, floor(amt / 25) AS amt_band FROM feat),
+weighed AS (SELECT *, count(*) OVER () / (2.0e0 * count(*) OVER (PARTITION BY is_fraud)) AS w FROM banded WHERE split = 'train'),
+cells AS (SELECT x.c AS c, x.v AS v, sum(w) AS n, sum(is_fraud * w) AS n1
+  FROM (SELECT is_fraud, w, unnest({values}) AS x FROM weighed) GROUP BY 1, 2),
+below AS (SELECT c, v, sum(n) OVER upto AS nl, sum(n1) OVER upto AS pl, sum(n) OVER whole - sum(n) OVER upto AS nr,
+    sum(n1) OVER whole - sum(n1) OVER upto AS pr
+  FROM cells WINDOW upto AS (PARTITION BY c ORDER BY v), whole AS (PARTITION BY c)),
+best AS (SELECT c, v, pl::DOUBLE / nl AS l, pr::DOUBLE / nr AS r FROM below WHERE nr > 0.1
+  ORDER BY pl::DOUBLE * (nl - pl) / nl + pr::DOUBLE * (nr - pr) / nr, c, v LIMIT 1),
+scored AS (SELECT id, is_fraud AS label, CASE WHEN {values}[c + 1].v <= v THEN l ELSE r END AS score
+  FROM banded, best WHERE split = 'test')""",
+               "SELECT id, label, score, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FROM scored", ["score"], 9)
+
+
 def oracle() -> dict[str, str]:
     tx = ", ".join(TX_COLUMNS)
     shap_ctes, shap = _linear_shap()
@@ -661,6 +679,11 @@ folded AS ({folds('train', 3, 'id, is_fraud')}), turns AS (SELECT CAST(unnest(ra
             """SELECT id, CAST((SELECT count(*) - 1 FROM codes) AS INT) AS size, coalesce(code - 1, -1) AS place
 FROM transactions LEFT JOIN codes USING (merchant) WHERE split = 'test'"""),
         "e_boosting_round": _boosting_round(),
+        "e_tree_stump": _stump(),
+        "e_lr_dummies": sql(f"""{FEAT}, rates AS (SELECT period_of_day, avg(is_fraud::DOUBLE) AS score
+  FROM feat WHERE split = 'train' GROUP BY 1)""",
+            """SELECT id, is_fraud AS label, score, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction
+FROM feat JOIN rates USING (period_of_day) WHERE split = 'test'""", ["score"], 5),
         "e_loglik": sql(FEAT, f"""SELECT sum((is_fraud - 1) * s - CASE WHEN s >= 0 THEN ln(1 + exp(-s)) ELSE ln(1 + exp(s)) - s END)
   - 10.0e0 * ({' + '.join(f'{w!r}::DOUBLE * {w!r}::DOUBLE' for c, w in cat.LINEAR.items() if c != 'amt')}) AS log_likelihood
 FROM (SELECT is_fraud, {linear(cat.LINEAR)} AS s FROM feat WHERE split = 'train')""", ["log_likelihood"], 4),
