@@ -109,14 +109,14 @@ def histogram(
     return full.select(*out)
 
 
-#: Distinct values whose kernels are evaluated together.
-KERNEL_ROWS = 4096
+#: Nodes that values are shared out to, and how many nodes' kernels are evaluated together.
+NODES, KERNEL_ROWS = 262_144, 4096
 
 
-def _kernel_sums(points: int, cut: float):
+def _kernel_sums(points: int, cut: float, nodes: int):
     """Task function: the grid and the sum of kernels at each of its points over one partition."""
     def partition(batches):
-        total = grid = norm = None
+        weight = None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -125,29 +125,36 @@ def _kernel_sums(points: int, cut: float):
             step = (high - low + h * (2 * cut)) / (points - 1)
             if not (h > 0 and step > 0):
                 continue
-            if total is None:
-                total, grid = np.zeros(points), low - h * cut + np.arange(points) * step
-                norm = n * h * np.sqrt(2 * np.pi)
-            value, times = np.unique(x, return_counts=True)
-            for start in range(0, len(value), KERNEL_ROWS):
-                z = (grid[:, None] - value[start:start + KERNEL_ROWS]) / h
-                total += np.exp(-0.5 * z * z) @ times[start:start + KERNEL_ROWS]
-        if total is not None:
+            if weight is None:
+                weight, apart = np.zeros(nodes + 1), (high - low) / (nodes - 1)
+            place = (x - low) / apart
+            node = np.minimum(place.astype(np.int64), nodes - 1)
+            share = place - node
+            weight += np.bincount(node, 1 - share, nodes + 1) + np.bincount(node + 1, share, nodes + 1)
+        if weight is not None:
+            grid, total = low - h * cut + np.arange(points) * step, np.zeros(points)
+            held = np.flatnonzero(weight)
+            for start in range(0, len(held), KERNEL_ROWS):
+                some = held[start:start + KERNEL_ROWS]
+                z = (grid[:, None] - (low + some * apart)) / h
+                total += np.exp(-0.5 * z * z) @ weight[some]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(points, dtype="int32")), pa.array(grid), pa.array(total),
-                 pa.array(np.full(points, norm))], names=["point", "x", "k", "norm"],
+                 pa.array(np.full(points, n * h * np.sqrt(2 * np.pi)))], names=["point", "x", "k", "norm"],
             )
 
     return partition
 
 
 def density_curve(
-    df: DataFrame, column: str, points: int = 200, cut: float = 0.0
+    df: DataFrame, column: str, points: int = 200, cut: float = 0.0, nodes: int = NODES
 ) -> DataFrame:
     """Gaussian kernel density on an even grid, bandwidth n^(-1/5) times the sample deviation.
 
-    Kernels are summed per Arrow batch where the rows are; a task sends one row per grid point,
-    whatever its number of rows.
+    A value is shared out to the two nearest of ``nodes`` even nodes, in proportion to its nearness,
+    and kernels are evaluated once per node and task: the work a row is constant, and a task sends
+    one row per grid point. For nodes d apart and bandwidth h a density is off by at most
+    0.05 d^2 / h^3; where the density is smooth, by about d^2 / 12 times its second derivative.
     """
     rows = df.where(~is_missing(df, column)).select(F.col(column).cast("double").alias("x"))
     moments = rows.agg(F.struct(
@@ -155,7 +162,7 @@ def density_curve(
         (F.pow(F.count("x").cast("double"), F.lit(-0.2)) * F.stddev_samp("x")).alias("h"),
     ).alias("s")).scalar()
     fitted = rows.withColumn("s", moments).select("x", "s.*")
-    sums = fitted.mapInArrow(_kernel_sums(points, cut), "point int, x double, k double, norm double")
+    sums = fitted.mapInArrow(_kernel_sums(points, cut, nodes), "point int, x double, k double, norm double")
     return sums.groupBy("point").agg(
         F.first("x").alias("x"), (F.sum("k") / F.first("norm")).alias("density")
     )

@@ -25,7 +25,7 @@ from cardwatch.plans.pipeline import (
     MODEL_COLUMNS, assembler, fit_features, model_table, scaling_stages,
 )
 from cardwatch.schema import LABEL
-from cardwatch.session import saved
+from cardwatch.session import discard, saved
 
 SEED = 42
 
@@ -170,16 +170,19 @@ def _head(kind: ModelKind, params: dict, rows: DataFrame, n: int, columns: list[
 def fit_table(kind: ModelKind, table: DataFrame, params: dict | None = None,
               balance: str | None = None, columns: list[str] = MODEL_COLUMNS,
               label: str = LABEL) -> PipelineModel:
-    """Train on encoded rows. Class weights apply when the parameters ask for them."""
+    """Train on encoded rows. Class weights apply when the parameters ask for them.
+
+    The balanced rows are saved for the time of the fit: a lost executor costs a re-read, not the
+    feature pipeline and the resampling once more.
+    """
     params = kind.params if params is None else params
     if balance is None and params.get("class_weight") == "balanced":
         balance = "weights"
-    rows = balance_rows(table, balance, columns, label).persist()
-    try:
-        n = rows.count()
-        return _head(kind, params, rows, n, columns, label).fit(rows)
-    finally:
-        rows.unpersist()
+    rows = saved(balance_rows(table, balance, columns, label), "fit")
+    n = rows.count()
+    model = _head(kind, params, rows, n, columns, label).fit(rows)
+    discard(rows)
+    return model
 
 
 def train(kind: ModelKind, transactions: DataFrame, params: dict | None = None,

@@ -128,3 +128,16 @@ def test_one_hot_vectors_of_any_number_of_levels(spark):
     assert {i: v.indices.tolist() for i, v in rows.items()} == {1: [], 2: [0], 3: [99_998], 4: [], 5: []}
     one = encode.one_hot_vector(asked, "level", codes.limit(0)).collect()
     assert len(one) == 5 and one[0].level_vector.size == 0
+
+
+def test_density_of_shared_out_values_keeps_its_bound(spark):
+    import numpy as np
+
+    x = np.random.default_rng(1).gamma(2.0, 3.0, 4000)
+    df = spark.createDataFrame([(float(v),) for v in x], "v double").repartition(3)
+    h = 4000 ** -0.2 * x.std(ddof=1)
+    for nodes in (200, 2000):
+        apart = (x.max() - x.min()) / (nodes - 1)
+        for r in eda.density_curve(df, "v", points=50, nodes=nodes).collect():
+            exact = np.exp(-0.5 * ((r.x - x) / h) ** 2).sum() / (4000 * h * np.sqrt(2 * np.pi))
+            assert abs(r.density - exact) <= 0.05 * apart**2 / h**3
