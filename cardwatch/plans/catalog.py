@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from cardwatch.functions import checks, features as feat
 from cardwatch.operators import (
-    boosting, eda, encode, evaluate, explain, gradient, joins, knn, profile, project, ranking, resample,
+    boosting, eda, encode, evaluate, exacttree, explain, gradient, joins, knn, profile, project, ranking, resample,
 )
 from cardwatch.plans import boosted, pipeline, scoring, training
 from cardwatch.schema import (
@@ -39,6 +39,8 @@ THRESHOLDS = [0.1, 0.3, 0.5, 0.7, 0.9]
 #: Columns of few values, so that every value can be a cut, and one round of boosting over them.
 ROUND_COLUMNS = ["amt_band", "trans_hour", "trans_month", "trans_weekday", "is_weekend", "is_night", "gender_encoded"]
 ROUND_PARAMS = {"learning_rate": 0.3, "reg_alpha": 2.0, "reg_lambda": 5.0, "min_child_weight": 1.0}
+#: Columns of many values for the exact tree.
+EXACT_COLUMNS = ["amt", "city_pop", "age", "trans_hour", "trans_month", "gender_encoded"]
 ASCENT_BASE = ["amt", "gender_flag", "city_pop", "trans_month", "trans_hour", "is_weekend", "age"]
 
 
@@ -756,6 +758,30 @@ def e_tree_stump(spark, folder):
     return rounded(training.predictions(model, rows.where("split = 'test'")), 9)
 
 
+@query
+def e_exact_tree(spark, folder):
+    """A tree with exact cuts grown to its last leaf, on the test rows."""
+    train, test = _parts(spark, folder)
+    features = pipeline.fit_features(train)
+    model = exacttree.fit_exact_tree(pipeline.model_table(features, train), pipeline.MODEL_COLUMNS)
+    return model.predictions(pipeline.model_table(features, test))
+
+
+@query
+def e_exact_depth3(spark, folder):
+    """The exact tree of depth three over columns of many values with balanced classes, on the test rows."""
+    rows = _enriched(spark, folder)
+    model = exacttree.fit_exact_tree(rows.where("split = 'train'"), EXACT_COLUMNS, max_depth=3, class_weight="balanced", small=1024)
+    return rounded(model.predictions(rows.where("split = 'test'")), 9)
+
+
+@query
+def e_exact_leaves(spark, folder):
+    """Without a limit every training row ends among its equals: its score is their positive share."""
+    rows = _enriched(spark, folder).withColumn("amt_band", F.floor(F.col("amt") / 25)).where("split = 'train'")
+    return rounded(exacttree.fit_exact_tree(rows, ROUND_COLUMNS).predictions(rows), 9)
+
+
 @query
 def e_lr_dummies(spark, folder):
     """A logistic model without penalty over the dummies of one column gives every level its own rate."""

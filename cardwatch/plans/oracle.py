@@ -521,6 +521,31 @@ scored AS (SELECT id, is_fraud AS label, CASE WHEN {values}[c + 1].v <= v THEN l
                "SELECT id, label, score, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FROM scored", ["score"], 9)
 
 
+def _exact_tree(depth: int) -> str:
+    """Every level tries all cuts between neighbouring values of every node; classes are balanced."""
+    values = "[" + ", ".join(f"{{'c': {i}, 'v': CAST({c} AS DOUBLE)}}" for i, c in enumerate(cat.EXACT_COLUMNS)) + "]"
+    half = lambda a, b: f"coalesce({a} * {b} / nullif({a} + {b}, 0), 0)"
+    ctes = f"""{FEAT}, weights AS (SELECT count(*) / (2.0e0 * sum(1 - is_fraud)) AS w0, count(*) / (2.0e0 * sum(is_fraud)) AS w1
+  FROM feat WHERE split = 'train'), at0 AS (SELECT id, split, is_fraud, {values} AS x, 1 AS node FROM feat)"""
+    for d in range(depth):
+        ctes += f""",
+cells{d} AS (SELECT node, u.c AS c, u.v AS v, sum(1 - is_fraud)::DOUBLE AS n0, sum(is_fraud)::DOUBLE AS n1
+  FROM (SELECT node, is_fraud, unnest(x) AS u FROM at{d} WHERE split = 'train') GROUP BY ALL),
+below{d} AS (SELECT node, c, v, lead(v) OVER upto AS after, sum(n0) OVER upto * w0 AS a, sum(n1) OVER upto * w1 AS b,
+    (sum(n0) OVER whole - sum(n0) OVER upto) * w0 AS p, (sum(n1) OVER whole - sum(n1) OVER upto) * w1 AS q,
+    sum(n0) OVER whole AS t0, sum(n1) OVER whole AS t1
+  FROM cells{d}, weights WINDOW upto AS (PARTITION BY node, c ORDER BY v), whole AS (PARTITION BY node, c)),
+best{d} AS (SELECT node, c, (v + after) / 2 AS cut FROM below{d} WHERE after IS NOT NULL AND t0 > 0 AND t1 > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY {half('a', 'b')} + {half('p', 'q')}, c, v) = 1),
+at{d + 1} AS (SELECT id, split, is_fraud, x, CASE WHEN cut IS NULL THEN node WHEN x[c + 1].v <= cut THEN 2 * node ELSE 2 * node + 1 END AS node
+  FROM at{d} LEFT JOIN best{d} USING (node))"""
+    return sql(ctes + f""",
+leaves AS (SELECT node, sum(is_fraud) * any_value(w1) / (sum(1 - is_fraud) * any_value(w0) + sum(is_fraud) * any_value(w1)) AS score
+  FROM at{depth}, weights WHERE split = 'train' GROUP BY node),
+scored AS (SELECT id, is_fraud AS label, score FROM at{depth} JOIN leaves USING (node) WHERE split = 'test')""",
+               "SELECT id, label, score, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FROM scored", ["score"], 9)
+
+
 def oracle() -> dict[str, str]:
     tx = ", ".join(TX_COLUMNS)
     shap_ctes, shap = _linear_shap()
@@ -680,6 +705,10 @@ folded AS ({folds('train', 3, 'id, is_fraud')}), turns AS (SELECT CAST(unnest(ra
 FROM transactions LEFT JOIN codes USING (merchant) WHERE split = 'test'"""),
         "e_boosting_round": _boosting_round(),
         "e_tree_stump": _stump(),
+        "e_exact_depth3": _exact_tree(3),
+        "e_exact_leaves": sql(f"""{FEAT}, banded AS (SELECT *, floor(amt / 25) AS amt_band FROM feat WHERE split = 'train'),
+scored AS (SELECT id, is_fraud AS label, avg(is_fraud::DOUBLE) OVER (PARTITION BY {", ".join(cat.ROUND_COLUMNS)}) AS score FROM banded)""",
+                              "SELECT id, label, score, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction FROM scored", ["score"], 9),
         "e_lr_dummies": sql(f"""{FEAT}, rates AS (SELECT period_of_day, avg(is_fraud::DOUBLE) AS score
   FROM feat WHERE split = 'train' GROUP BY 1)""",
             """SELECT id, is_fraud AS label, score, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS prediction
