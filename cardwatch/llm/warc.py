@@ -1,21 +1,24 @@
 """Web archives packed as ZIP files: write deduplicated WARC records, read them back by ranges.
 
-An archive is a ZIP of stored (uncompressed) members: ``archive/data.warc.gz`` with one gzip member
-per record, and ``indexes/index.cdxj`` with offset and length of each record inside that member.
-The reader fetches the tail of the file, follows the end record (or the ZIP64 end record) to the
-central directory, takes the members' places from it, and then reads single ranges only.
+An archive is a ZIP of stored (uncompressed) members: WARC files below ``archive/`` (the writer makes
+one, ``archive/data.warc.gz``, a gzip member per record) and CDXJ indexes below ``indexes/`` (plain or
+gzipped) that name file, offset and length of every record. The reader fetches the tail of the file,
+follows the end record (or the ZIP64 end record) to the central directory, takes the members' places
+from it, and then reads single ranges only.
 """
 from __future__ import annotations
 
 import base64
 import hashlib
 import io
+import itertools
 import json
 import struct
 import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
@@ -29,10 +32,12 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Payload bytes after which a task begins its next archive.
 ARCHIVE_BYTES = 32 << 20
 LEAST_BYTES = 1000
+#: Archive bytes a reading task gets, in blocks; the most tasks (they stream, so more bytes only take longer).
+READ_BYTES, BLOCK_BYTES, MOST_TASKS = 8 << 20, 4 << 20, 32_768
 
 MANIFEST = "archive string, n_records long"
 RECORD = ("page_id long, record_type string, refers_to long, payload_digest string, "
-          "payload binary, warc_offset long, warc_length long")
+          "payload binary, warc_offset long, warc_length long, record_id string, target_uri string")
 
 
 def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
@@ -57,6 +62,18 @@ def record(page_id: int | None, url: str, payload: bytes, digest: str, refers_to
     return packer.compress("\r\n".join(head).encode() + body + b"\r\n\r\n") + packer.flush()
 
 
+def index_line(url: str, digest: str, revisit: bool, offset: int, length: int) -> str:
+    """CDXJ line: host labels from the right, path, time, and the place of the record."""
+    try:
+        parts = urlsplit(" ".join(url.split()).lower())
+        key = f"{','.join(reversed((parts.hostname or '').split('.')))}){parts.path}{'?' + parts.query if parts.query else ''}"
+    except ValueError:  # no URL
+        key = ")"
+    place = {"url": url, "digest": f"sha1:{digest}", "mime": "warc/revisit" if revisit else "text/html",
+             "offset": offset, "length": length, "filename": DATA.rpartition("/")[2]}
+    return f"{'%20'.join(key.split())} 19700101000000 {json.dumps(place)}"
+
+
 class ArchiveWriter:
     """Collects records in memory up to ARCHIVE_BYTES and writes them as one ZIP file."""
 
@@ -71,7 +88,7 @@ class ArchiveWriter:
 
     def add(self, page_id, url, payload, digest, refers_to):
         member = record(page_id, url, payload, digest, refers_to)
-        self.lines.append(json.dumps({"page": page_id, "offset": self.data.tell(), "length": len(member)}))
+        self.lines.append(index_line(url, digest, refers_to is not None, self.data.tell(), len(member)))
         self.data.write(member)
         self.raw += len(payload)
 
@@ -79,7 +96,7 @@ class ArchiveWriter:
         """Write under a name of this attempt alone; a repeated task leaves an unlisted file."""
         name, n = f"{self.folder}/{uuid.uuid4().hex}.wacz", len(self.lines)
         with self.store.open_output_stream(name) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_STORED) as z:
-            z.writestr(INDEX, "\n".join(self.lines))
+            z.writestr(INDEX, "".join(f"{line}\n" for line in sorted(self.lines)))
             with z.open(zipfile.ZipInfo(DATA), "w", force_zip64=True) as member:
                 member.write(self.data.getbuffer())
         self._begin()
@@ -175,28 +192,85 @@ def members(source, size: int) -> dict[str, tuple[int, int]]:
     return found
 
 
+def _lines(source, at: int, size: int, packed: bool) -> Iterator[bytes]:
+    """Lines of a range, read and unpacked in blocks; a gzipped one may have several gzip members."""
+    rest, unpack = b"", zlib.decompressobj(31) if packed else None
+    source.seek(at)
+    while size > 0:
+        block = source.read(min(size, 1 << 20))
+        if not block:
+            raise ValueError("index ends early")
+        size -= len(block)
+        while block:
+            plain, more = block, b""
+            if unpack:
+                plain, more = unpack.decompress(block), unpack.unused_data
+                if unpack.eof:
+                    unpack = zlib.decompressobj(31)
+            *full, rest = (rest + plain).split(b"\n")
+            yield from full
+            block = more
+    if rest:
+        yield rest
+
+
+def places(source, size: int) -> Iterator[tuple[int, int]]:
+    """Offset and length, in the archive, of every record its indexes list."""
+    at = members(source, size)
+    files = {name.rpartition("/")[2]: place for name, place in at.items() if name.startswith("archive/")}
+    indexes = sorted(n for n in at if n.startswith("indexes/") and n.removesuffix(".gz").endswith((".cdx", ".cdxj")))
+    if not indexes:
+        raise ValueError("no index among the stored members")
+    for name in indexes:
+        for line in _lines(source, *at[name], name.endswith(".gz")):
+            entry = json.loads(line[line.index(b"{"):]) if b"{" in line else {}
+            if "offset" not in entry:  # header of an index
+                continue
+            own = entry.get("filename", "").rpartition("/")[2] or (next(iter(files)) if len(files) == 1 else None)
+            if own not in files:
+                raise ValueError(f"{name} lists a record of {own}, which is no stored member")
+            yield files[own][0] + int(entry["offset"]), int(entry["length"])
+
+
 def parse_record(member: bytes) -> dict:
-    """Headers (lower-case names) and payload of one gzipped record."""
-    plain = zlib.decompress(member, 31)
+    """Headers (lower-case names) and payload of one record, gzipped or plain.
+
+    The payload of an HTTP message is what follows its head; ``encoded`` marks one under a transfer encoding.
+    """
+    plain = member if member.startswith(b"WARC/") else zlib.decompress(member, 31)
     head, _, rest = plain.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
+    lines = head.decode(errors="replace").split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
     out = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
-    out["payload"] = rest[: int(out["content-length"])]
+    out["payload"], out["encoded"] = rest[: int(out["content-length"])], False
+    if out.get("content-type", "").lower().startswith("application/http"):
+        message, _, out["payload"] = out["payload"].partition(b"\r\n\r\n")
+        out["encoded"] = b"\ntransfer-encoding:" in message.lower()
     return out
 
 
+def _sha1(x: dict) -> tuple[str | None, bool]:
+    """Hexadecimal SHA-1 of the payload, and whether the record itself states it."""
+    kind, _, value = x.get("warc-payload-digest", "").partition(":")
+    if kind.lower() == "sha1" and len(value) == 32:
+        return base64.b32decode(value.upper()).hex(), True
+    if kind.lower() == "sha1" and len(value) == 40:
+        return value.lower(), True
+    return (hashlib.sha1(x["payload"]).hexdigest() if x["warc-type"] != "revisit" else None), False
+
+
 def _page(urn: str) -> int | None:
     number = urn.removeprefix("<urn:page:").removesuffix(">")
-    return int(number) if number else None
+    return int(number) if urn.startswith("<urn:page:") and number else None
 
 
-def read_archives(manifest: DataFrame) -> DataFrame:
-    """All records of the archives a manifest lists, RECORD columns, by range reads.
+def read_archives(manifest: DataFrame, read_bytes: int = READ_BYTES) -> DataFrame:
+    """All indexed records of the archives a manifest lists (column archive), RECORD columns, by range reads.
 
-    Two steps: a task per archive lists its index, then the records' ranges are dealt out anew, so
-    a large archive is read by many tasks.
+    Two steps: a task per archive lists its indexes, then the records' ranges are dealt out anew by
+    bytes, so a large archive is read by many tasks. page_id and refers_to are null for records whose
+    ids are no page numbers; only responses whose stated SHA-1 differs from their payload's are refused.
     """
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,14 +278,11 @@ def read_archives(manifest: DataFrame) -> DataFrame:
             for uri in batch.column("archive").to_pylist():
                 store, path = filesystem(uri)
                 with store.open_input_file(path) as source:
-                    at = members(source, source.size())
-                    source.seek(at[INDEX][0])
-                    index = [json.loads(x) for x in source.read(at[INDEX][1]).splitlines()]
-                start = at[DATA][0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([uri] * len(index), pa.string()),
-                     pa.array([start + x["offset"] for x in index], pa.int64()),
-                     pa.array([x["length"] for x in index], pa.int64())], ["archive", "at", "length"])
+                    listed = places(source, source.size())
+                    while part := list(itertools.islice(listed, 10_000)):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([uri] * len(part), pa.string()), pa.array([p[0] for p in part], pa.int64()),
+                             pa.array([p[1] for p in part], pa.int64())], ["archive", "at", "length"])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, name = None, None
@@ -226,21 +297,24 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                         opened, name = store.open_input_file(path), uri
                     opened.seek(at)
                     x = parse_record(opened.read(length))
-                    sha = base64.b32decode(x["warc-payload-digest"].removeprefix("sha1:")).hex()
-                    if x["warc-type"] == "response" and hashlib.sha1(x["payload"]).hexdigest() != sha:
+                    sha, stated = _sha1(x)
+                    if stated and x["warc-type"] == "response" and not x["encoded"] and hashlib.sha1(x["payload"]).hexdigest() != sha:
                         raise ValueError(f"digest of a record in {uri} at {at} does not fit its payload")
-                    rows.append((_page(x["warc-record-id"]), x["warc-type"],
-                                 _page(x["warc-refers-to"]) if "warc-refers-to" in x else None, sha,
-                                 x["payload"] if x["warc-type"] == "response" else None, at, length))
-                kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
+                    rows.append((_page(x["warc-record-id"]), x["warc-type"], _page(x.get("warc-refers-to", "")), sha,
+                                 x["payload"] if x["warc-type"] != "revisit" else None, at, length,
+                                 x["warc-record-id"], x.get("warc-target-uri")))
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
                     [c.split()[0] for c in RECORD.split(", ")])
         if opened:
             opened.close()
 
-    listed = manifest.mapInArrow(ranges, "archive string, at long, length long")
-    blocks = listed.repartition("archive", F.floor(F.col("at") / (4 << 20))).sortWithinPartitions("archive", "at")
+    listed = saved(manifest.select("archive").mapInArrow(ranges, "archive string, at long, length long"), "ranges")
+    total = listed.agg(F.sum("length")).first()[0] or 0
+    # a stated number of partitions: their rows are tiny, and would be put together by size otherwise
+    tasks = max(1, min(-(-total // read_bytes), MOST_TASKS))
+    blocks = listed.repartition(tasks, "archive", F.floor(F.col("at") / BLOCK_BYTES)).sortWithinPartitions("archive", "at")
     return blocks.mapInArrow(fetch, RECORD)
 
 

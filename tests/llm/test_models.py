@@ -167,6 +167,51 @@ def test_archives(spark):
     assert warc.archived(df.limit(0)).count() == 0
 
 
+def test_foreign_archive(spark, tmp_path):
+    """Several members, one of them plain, HTTP messages, gzipped and plain indexes, text numbers, a record without digest."""
+    import gzip
+    import hashlib
+    import json
+
+    def made(kind, urn, payload, digest=None, http=b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n"):
+        body = http + payload
+        head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: {urn}", "WARC-Target-URI: http://x/"]
+        head += [f"WARC-Payload-Digest: {digest}"] if digest else []
+        head += [f"Content-Type: {'application/http; msgtype=response' if http else 'text/plain'}", f"Content-Length: {len(body)}", "", ""]
+        return "\r\n".join(head).encode() + body + b"\r\n\r\n"
+
+    sha = hashlib.sha1(b"one").hexdigest()
+    first = [gzip.compress(made("response", "<urn:uuid:1>", b"one", f"sha1:{sha}")), gzip.compress(made("resource", "<urn:uuid:2>", b"two", http=b""))]
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n"
+    second = [made("response", "<urn:uuid:3>", b"3\r\none\r\n0\r\n\r\n", f"sha1:{sha}", chunked), made("revisit", "<urn:uuid:4>", b"", f"sha1:{sha}")]
+
+    def lines(parts, name):
+        at, out = 0, []
+        for part in parts:
+            out.append("x)/ 2020 " + json.dumps({"offset": str(at), "length": str(len(part)), "filename": name}))
+            at += len(part)
+        return "\n".join(out)
+
+    def pack(name, index, members):
+        with zipfile.ZipFile(tmp_path / name, "w", zipfile.ZIP_STORED) as z:
+            for member, body in {**index, **members}.items():
+                z.writestr(member, body)
+        return str(tmp_path / name)
+
+    packed = gzip.compress(lines(first, "a.warc.gz").encode()[:20]) + gzip.compress(lines(first, "a.warc.gz").encode()[20:])
+    uri = pack("f.wacz", {"indexes/a.cdx.gz": packed, "indexes/b.cdxj": "!meta {\"a\": 1}\n" + lines(second, "b.warc") + "\n"},
+               {"archive/a.warc.gz": b"".join(first), "archive/b.warc": b"".join(second), "pages/pages.jsonl": "{}"})
+    got = warc.read_archives(spark.createDataFrame([(uri,)], "archive string"), read_bytes=300)
+    assert got.rdd.getNumPartitions() > 1
+    rows = {r.record_id[-2]: (r.page_id, r.record_type, r.payload_digest, r.payload and bytes(r.payload), r.target_uri) for r in got.collect()}
+    assert rows == {"1": (None, "response", sha, b"one", "http://x/"),
+                    "2": (None, "resource", hashlib.sha1(b"two").hexdigest(), b"two", "http://x/"),
+                    "3": (None, "response", sha, b"3\r\none\r\n0\r\n\r\n", "http://x/"), "4": (None, "revisit", sha, None, "http://x/")}
+    lost = pack("l.wacz", {"indexes/a.cdxj": lines(first, "z.warc.gz")}, {"archive/a.warc.gz": b"".join(first)})
+    with pytest.raises(Exception, match="no stored member"):
+        warc.read_archives(spark.createDataFrame([(lost,)], "archive string")).count()
+
+
 def test_link_graph_verdicts(spark):
     link = '<a href="{}">'
     rows = [(1, "https://good.org/x", link.format("https://near.net/")), (2, "https://near.net/", ""),
