@@ -920,6 +920,12 @@ def e_full_run(spark, folder):
     return training.full_run(training.KINDS["logistic_regression"], *_parts(spark, folder))[1]
 
 
+@query
+def e_full_run_forest(spark, folder):
+    """Twenty draws, five-fold validation, refit under the caps and test metrics of the forest."""
+    return training.full_run(training.KINDS["random_forest"], *_parts(spark, folder))[1]
+
+
 def _all_models(spark, folder):
     kinds = [training.KINDS[k] for k in ("logistic_regression", "random_forest", "gradient_boosting")]
     models, status, scored = training.train_all(*_parts(spark, folder), kinds)
