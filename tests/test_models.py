@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from cardwatch.operators import evaluate, explain
 from cardwatch.plans import pipeline, scoring, training
@@ -244,3 +244,38 @@ def test_patterns_of_many_features_are_those_that_occur():
         assert len(set(zip(leaf.tolist(), map(tuple, bits.astype(int).tolist())))) == len(leaf)
         for i in range(4):
             assert (leaf[cell[i]] == i).all() and (bits[cell[i]].astype(bool) == hits[i]).all()
+
+
+def _observe(spark):
+    """From here on a session cannot be written."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+
+
+def _written(spark, model) -> bytes:
+    out = spark._jvm.java.io.ByteArrayOutputStream()
+    spark._jvm.java.io.ObjectOutputStream(out).writeObject(model._java_obj)
+    return bytes(out.toByteArray())
+
+
+@pytest.mark.parametrize("kind", ["logistic_regression", "random_forest"])
+def test_tasks_get_no_session_with_a_model(spark, parts, kind):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, int(a > 0), float(a)) for i, a in enumerate(rng.normal(size=60))], "id long, is_fraud int, a double")
+    _observe(spark)
+    built = training.KINDS[kind].build({"n_estimators": 2, "max_depth": 2}, 60).setLabelCol("is_fraud")
+    model = Pipeline(stages=[pipeline.assembler(["a"]), built]).fit(df)
+    assert not model.stages[-1].hasSummary and b"SparkSession" not in _written(spark, model.stages[-1])
+    assert model.transform(df).where("prediction = is_fraud").count() > 50
+    ranked, _ = training.search(training.KINDS[kind], df, [{"n_estimators": 2, "max_depth": 2}], 2, columns=["a"])
+    assert len(ranked) == 1
+
+
+def test_attributions_of_a_model_with_a_summary(spark):
+    df = spark.createDataFrame([(i, int(i > 20), float(i)) for i in range(40)], "id long, label int, a double")
+    _observe(spark)
+    model = Pipeline(stages=[pipeline.assembler(["a"]), RandomForestClassifier(numTrees=2, maxDepth=2, seed=1)]).fit(df)
+    assert model.stages[-1].hasSummary
+    assert explain.tree_shap(model, df, ["a"]).count() == 40
+    assert model.stages[-1].hasSummary
