@@ -26,7 +26,8 @@ from cardwatch.session import checkpointed, discard, saved
 LEAF_SIZE = 2048
 MAX_LEAVES = 16384
 SAMPLE_PER_LEAF = 8
-CHUNK_CELLS = 4_000_000
+#: Distances computed at once; a task holds a handful of arrays of this size.
+CHUNK_CELLS = 500_000
 #: Boxes a vector visits in the first round.
 FIRST_VISITS = 4
 

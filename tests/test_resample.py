@@ -1,6 +1,8 @@
 import itertools
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +159,20 @@ def test_neighbours_in_many_columns_visit_few_boxes(spark):
     for i in range(0, 3000, 50):
         mine = [r.neighbour_id for r in sorted((r for r in got if r.id == i), key=lambda r: r.rank)]
         assert sorted(far[i][mine]) == pytest.approx(sorted(far[i])[:5]) and mine == sorted(mine, key=lambda j: (round(far[i][j], 9), j))
+
+
+def test_neighbour_search_holds_few_distances_at_once():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 3))
+    ids = pd.Series([[i] for i in range(3000)])
+    boxes = knn.cut_boxes(x, 1024)
+    part = pd.DataFrame({"vid": range(3000), "x": list(x), "leaf": boxes.locate(x), "radius": 0.01})
+    tracemalloc.start()
+    found = sum(len(row) for row, _, _ in knn._best(x, x, ids, 6))
+    asked = sum(len(out) for out in knn._next_boxes(SimpleNamespace(value=boxes), 0, 4)([part]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 18000 and asked == 3000
+    assert peak < 48 << 20
