@@ -191,3 +191,22 @@ def test_jaccard_odd_rows(odd_docs):
     assert len(got) == odd_docs.count()
     assert all(r.component_id == r.doc for r in got if r.doc is not None)
     assert jaccard.join(odd_docs.limit(0)).count() == 0
+
+
+def test_regions_are_compared_in_small_blocks():
+    import tracemalloc
+
+    draw = np.random.default_rng(8)
+    sets = [np.sort(draw.choice(1 << 40, 4000, replace=False)) for _ in range(120)]
+    sets += [np.sort(np.concatenate([s[:-20], draw.choice(1 << 40, 20)])) for s in sets]
+    n = np.array([len(s) for s in sets])
+    classes = [np.frombuffer(jaccard._classes(s.astype(np.uint64)), np.uint8) for s in sets]
+    tracemalloc.start()
+    a, b = jaccard._compatible(np.arange(240), n, classes, 90)
+    thinned = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    root = jaccard.local_roots(sets[:8] + sets[120:128], 90)
+    tracemalloc.stop()
+    assert sorted(zip(a.tolist(), b.tolist())) == [(i + 120, i) for i in range(120)]
+    assert root.tolist() == [*range(8), *range(8)]
+    assert thinned < 12 << 20
