@@ -95,6 +95,26 @@ def test_fits_side_by_side_equal_fits_alone(sample, monkeypatch):
             assert counts == [int((told == a)[y[out] == b].sum()) for a, b in ((False, 0), (True, 0), (False, 1), (True, 1))]
 
 
+def test_small_tables_need_no_passes(sample, monkeypatch):
+    df, x, y = sample
+    edges = boosting.bin_edges(df, NAMES)
+    cells, blocks = boosting.Cells(edges), boosting.packed(df, NAMES, edges, fold="fold", block=64)
+    passes, sums, told = [], boosting._sums, []
+    monkeypatch.setattr(boosting, "_sums", lambda *a: (passes.append(1), sums(*a))[1])
+    monkeypatch.setattr(boosting, "TURNS", 0.25)  # several jobs
+    points = [Params(n_estimators=7, max_depth=3, colsample_bytree=0.5), Params(n_estimators=3, max_depth=2, subsample=0.6)]
+    fits = [[Fit(p, fold, (1, p.n_estimators)) for p in points for fold in range(3)] for _ in range(3)]
+    boosting.grow(blocks, fits[0], cells, told.append)
+    boosting.grow(blocks, fits[1], cells, keep=False)
+    assert not passes and sorted(told) == list(range(6))
+    boosting.grow(blocks, fits[2], cells, small=0)
+    assert passes
+    for whole, scored, passed in zip(*fits):
+        assert whole.stages == scored.stages == passed.stages and not scored.trees
+        assert [sorted(zip(t.feature, t.cut)) for t in whole.trees] == [sorted(zip(t.feature, t.cut)) for t in passed.trees]
+        assert [sorted(t.value) for t in whole.trees] == [pytest.approx(sorted(t.value)) for t in passed.trees]
+
+
 def test_edges_and_odd_tables(spark):
     df = spark.range(5000).selectExpr("id", "cast(id % 2 as int) is_fraud", "cast(id % 7 as double) few", "id / 10 many",
                                       "cast(null as double) none", "if(id % 9 = 0, double('NaN'), 1.0D) gaps")
