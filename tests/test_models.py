@@ -139,6 +139,19 @@ def test_one_failing_model_does_not_stop_the_others(parts):
     assert list(models) == ["decision_tree"] and scored.count() == parts[1].count()
 
 
+def test_kinds_are_trained_side_by_side(parts):
+    import threading
+    both = threading.Barrier(2, timeout=60)
+
+    def waiting(params, n):
+        both.wait()
+        return training.tree(params, n)
+
+    kinds = [training.ModelKind(name, waiting, params={"max_depth": 1}) for name in ("one", "two")]
+    models, status, _ = training.train_all(*parts, kinds, balance=None)
+    assert list(models) == ["one", "two"] and {r.status for r in status.collect()} == {"ok"}
+
+
 def brute_force_shap(trees, x, width):
     """Average over all orders of the expected value with a growing set of known features."""
     import itertools
