@@ -32,7 +32,7 @@ def test_a_forest_search_brings_no_forest_to_the_driver(table, monkeypatch):
 def test_search_scores_are_near_those_of_sparks_forest(table, monkeypatch):
     kind = training.KINDS["random_forest"]
     found = training.search(kind, table, POINTS, 3, columns=["a", "b", "c", "d"])[1].collect()
-    monkeypatch.setattr(training, "SMALL", 0)
+    monkeypatch.setattr(training, "MOST_ROWS", 0)
     want = training.search(kind, table, POINTS, 3, columns=["a", "b", "c", "d"])[1].collect()
     mine, theirs = ({r.params: r.mean_score for r in rows} for rows in (found, want))
     assert mine == pytest.approx(theirs, abs=0.08)
