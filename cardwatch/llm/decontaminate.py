@@ -218,8 +218,11 @@ def _runs(flag: np.ndarray) -> list[tuple[int, int]]:
 FOUND = [("n_words", "long"), ("spans", "array<struct<start:int,end:int>>"), ("items", "array<string>")]
 
 
-def _pass(rows: DataFrame, p: Phrases, place: int) -> DataFrame:
-    """One pass over texts (column number ``place``), adding to the last three columns."""
+def _pass(rows: DataFrame, p: Phrases, place: int, cut: bool = False) -> DataFrame:
+    """One pass over texts (column number ``place``), adding to the last three columns.
+
+    cut: the passages found so far leave the text in the same task, so that it needs no second worker.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(p)  # PASS_WORDS bounds it
 
     def results(parts, hashes, counts, p):
@@ -242,8 +245,10 @@ def _pass(rows: DataFrame, p: Phrases, place: int) -> DataFrame:
                 row += 1
             own_n = pa.array(n[row - part.num_rows:row])
             kind = part.schema.field(part.num_columns - 2).type
-            yield pa.RecordBatch.from_arrays([*part.columns[:-3], own_n, pa.array(spans, kind), pa.array(owners, pa.list_(pa.string()))],
-                                             names=part.schema.names)
+            columns = [*part.columns[:-3], own_n, pa.array(spans, kind), pa.array(owners, pa.list_(pa.string()))]
+            if cut:
+                columns[place] = _without(part.column(place), spans)
+            yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, parts, hashes, counts, words, size = shared.value, [], [], [], 0, 0
@@ -263,9 +268,11 @@ def _pass(rows: DataFrame, p: Phrases, place: int) -> DataFrame:
 
 
 def find(docs: DataFrame, tests: DataFrame, text: str = "text", item_id: str = "item_id",
-         test_text: str = "text", window: int = WINDOW) -> DataFrame:
+         test_text: str = "text", window: int = WINDOW, cut: bool = False) -> DataFrame:
     """All columns of docs, n_words, spans (merged hit words, start to end) and items (sorted ids).
 
+    cut: the spans are cut from the text as by ``remove_spans``, in the tasks that find them.
+
     Test texts are read in passes of at most PASS_WORDS words, so tests of any size work. Null or
     wordless texts have no words and no hits, null or wordless items no windows; repeated items
     count as one id, repeated documents are judged alike. Columns of docs named like the new ones
@@ -283,7 +290,23 @@ def find(docs: DataFrame, tests: DataFrame, text: str = "text", item_id: str = "
         size += len(words_of([item[1]])[0])
         if size >= PASS_WORDS:
             rows, block, size = _pass(rows, phrases(block, window), place), [], 0
-    return _pass(rows, phrases(block, window), place)
+    return _pass(rows, phrases(block, window), place, cut)
+
+
+def _without(column: pa.Array, spans: list[list[dict]]) -> pa.Array:
+    """The texts without the words of their spans, first to last byte of each."""
+    texts = column.to_pylist()
+    for i, s in enumerate(spans):
+        if s:
+            raw = texts[i].encode()
+            data, offsets = joined([raw])
+            starts, ends, _ = word_spans(LOWER[data], offsets, ALNUM)
+            kept, at = [], 0
+            for x in s:
+                kept.append(raw[at:starts[x["start"]]])
+                at = ends[x["end"] - 1]
+            texts[i] = b"".join([*kept, raw[at:]]).decode()
+    return pa.array(texts, pa.string())
 
 
 def remove_spans(found: DataFrame, text: str = "text") -> DataFrame:
@@ -293,19 +316,8 @@ def remove_spans(found: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, place):
-                texts, own = part.column(place).to_pylist(), part.column(spans).to_pylist()
-                for i, s in enumerate(own):
-                    if s:
-                        raw = texts[i].encode()
-                        data, offsets = joined([raw])
-                        starts, ends, _ = word_spans(LOWER[data], offsets, ALNUM)
-                        cut, at = [], 0
-                        for x in s:
-                            cut.append(raw[at:starts[x["start"]]])
-                            at = ends[x["end"] - 1]
-                        texts[i] = b"".join([*cut, raw[at:]]).decode()
                 columns = part.columns
-                columns[place] = pa.array(texts, pa.string())
+                columns[place] = _without(part.column(place), part.column(spans).to_pylist())
                 yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
 
     return found.mapInArrow(run, found.schema)

@@ -115,6 +115,14 @@ def test_stages_and_run(spark, docs, tmp_path):
         assert round(r.score * pieces.UNIT) == best and pieces.decoded(np.array(r.ids), v) == r.text.encode()
 
 
+def test_benchmarks_go_in_one_python_step(spark, docs, tmp_path):
+    """Two Python steps in a task are two workers for each core, which executors keep."""
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.remove_benchmarks(spark, spark.createDataFrame(docs, SCHEMA), str(tmp_path))
+    assert clean._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert _rows(clean) == sorted(_benchmarks(docs), key=repr)
+
+
 def test_near_duplicates_go_by_text(spark, docs):
     got = [_rows(corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(docs, SCHEMA).repartition(n), "")) for n in (1, 5)]
     assert got[0] == got[1] == sorted(_near(docs), key=repr)

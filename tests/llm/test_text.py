@@ -132,6 +132,8 @@ def test_decontaminate(spark, odd_docs, monkeypatch, words_a_pass):
     assert got == want
     clean = {r.doc_id: r.text for r in decontaminate.remove_spans(found).collect()}
     assert all(len(WORD.findall(clean[i].lower())) == want[i][0] - len(want[i][1]) for i, _ in docs)
+    at_once = decontaminate.find(spark.createDataFrame(docs, "doc_id long, text string"), tests, cut=True)
+    assert {r.doc_id: (r.text, r.n_words, r["items"]) for r in at_once.collect()} == {i: (clean[i], want[i][0], want[i][2]) for i in want}
     assert decontaminate.find(odd_docs, tests).count() == odd_docs.count()
     assert decontaminate.find(odd_docs.limit(0), tests.limit(0)).count() == 0
 
