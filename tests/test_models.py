@@ -6,7 +6,7 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Observation, functions as F
 
 from cardwatch.operators import evaluate, explain
-from cardwatch.plans import pipeline, scoring, training
+from cardwatch.plans import catalog, pipeline, scoring, training
 from cardwatch.session import scratch_path
 from cardwatch.sources import store
 from cardwatch.sources.tables import split_of
@@ -139,6 +139,20 @@ def test_one_failing_model_does_not_stop_the_others(parts):
     assert list(models) == ["decision_tree"] and scored.count() == parts[1].count()
 
 
+def test_a_ranking_fails_if_a_model_does(spark, parts, monkeypatch):
+    def broken(params, n):
+        raise RuntimeError("no such model")
+
+    small = {"n_estimators": 2, "max_depth": 2}
+    monkeypatch.setattr(catalog, "_parts", lambda *_: parts)
+    monkeypatch.setitem(training.KINDS, "random_forest", training.ModelKind("random_forest", training.forest, params=small))
+    monkeypatch.setitem(training.KINDS, "gradient_boosting", training.ModelKind("gradient_boosting", broken))
+    with pytest.raises(RuntimeError, match="gradient_boosting: error: no such model"):
+        catalog.CATALOG["x_ranking"](spark, "unused")
+    rows = {r.model: r.status[:5] for r in catalog.CATALOG["e_train_all"](spark, "unused").collect()}
+    assert rows == {"logistic_regression": "ok", "random_forest": "ok", "gradient_boosting": "error"}
+
+
 def test_kinds_are_trained_side_by_side(parts):
     import threading
     both = threading.Barrier(2, timeout=60)
