@@ -159,3 +159,39 @@ def test_search_scores_prefixes_and_goes_on_from_its_ledger(spark, sample, monke
     assert scores[json.dumps(points[3])] == pytest.approx(np.mean(want), abs=1e-9)
     folds = boosted.cross_validate(df, own, 2, NAMES).orderBy("fold").collect()
     assert [r.f1 for r in folds] == pytest.approx(want, abs=1e-9)
+
+
+def test_a_table_of_several_nodes_rows_needs_no_passes(sample, monkeypatch):
+    df, x, y = sample
+    edges = boosting.bin_edges(df, NAMES)
+    blocks = boosting.packed(df, NAMES, edges, fold="fold", block=64)
+    passes, sums = [], boosting._sums
+    monkeypatch.setattr(boosting, "_sums", lambda *a: (passes.append(1), sums(*a))[1])
+    fits = [[Fit(Params(n_estimators=4, max_depth=5, subsample=0.7), fold, (4,)) for fold in range(3)] for _ in range(2)]
+    boosting.grow(blocks, fits[0], boosting.Cells(edges), small=100)
+    assert not passes
+    boosting.grow(blocks, fits[1], boosting.Cells(edges), small=99)
+    assert passes
+    for whole, passed in zip(*fits):
+        assert whole.stages == passed.stages
+        assert [sorted(zip(t.feature, t.cut, t.value)) for t in whole.trees] == [sorted(zip(t.feature, t.cut, t.value)) for t in passed.trees]
+
+
+def test_columns_share_codes_and_keep_their_bins(monkeypatch):
+    rng = np.random.default_rng(1)
+    hour, day = rng.integers(0, 24, 9000), rng.integers(0, 7, 9000)
+    bins = np.stack([hour, (hour + 3) // 2, rng.integers(0, 63, 9000), hour > 21, day, day > 4, np.full(9000, 63)]).astype(np.uint8)
+    bins[0][::50] = 63  # missing
+    monkeypatch.setattr(boosting, "SHARED", 1)
+    codes, owner, meaning = boosting.coded(bins)
+    assert len(codes) < 4 and codes.dtype == np.uint8
+    assert (np.stack([m[codes[k]] for k, m in zip(owner, meaning)]) == bins).all()
+    cells = boosting.Cells([np.arange(n) for n in (24, 14, 62, 2, 7, 2, 0)])
+    rows, g = np.flatnonzero(hour % 3), rng.normal(size=9000)
+    slot = day[rows] % 2
+    got = cells.sums(codes, cells.tables(owner, meaning), rows, slot, 2, g[rows], None)
+    for c, (a, b) in enumerate(zip(cells.starts, cells.starts[1:])):
+        for s in range(2):
+            at = np.where(bins[c] == 63, b - a - 1, bins[c])[rows[slot == s]]
+            assert got[0, s, a:b] == pytest.approx(np.bincount(at, g[rows[slot == s]], b - a))
+            assert got[1, s, a:b].tolist() == np.bincount(at, minlength=b - a).tolist()
