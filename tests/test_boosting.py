@@ -195,3 +195,16 @@ def test_columns_share_codes_and_keep_their_bins(monkeypatch):
             at = np.where(bins[c] == 63, b - a - 1, bins[c])[rows[slot == s]]
             assert got[0, s, a:b] == pytest.approx(np.bincount(at, g[rows[slot == s]], b - a))
             assert got[1, s, a:b].tolist() == np.bincount(at, minlength=b - a).tolist()
+
+
+def test_blocks_are_read_some_at_a_time(sample, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    df = sample[0].coalesce(1)
+    monkeypatch.setitem(boosting.GROUPS, "parquet.block.size", 4000)
+    blocks = boosting.packed(df, NAMES, boosting.bin_edges(df, NAMES), block=1)
+    found = [pq.ParquetFile(f).metadata for f in glob.glob(f"{blocks._saved_path}/*.parquet")]
+    files = [f for f in found if f.num_rows > 4]
+    assert files and all(f.num_row_groups > 1 for f in files)
