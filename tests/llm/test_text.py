@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cardwatch.llm import bloom, decontaminate, jaccard, linededup, suffixdedup
 
@@ -212,3 +213,55 @@ def test_regions_are_compared_in_small_blocks():
     assert sorted(zip(a.tolist(), b.tolist())) == [(i + 120, i) for i in range(120)]
     assert root.tolist() == [*range(8), *range(8)]
     assert thinned < 12 << 20
+
+
+def _links(edges, docs):
+    """The least document that edges lead each one to."""
+    root = {d: d for d in docs}
+    for _ in docs:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+@pytest.mark.parametrize("far", [0, 9])
+def test_settled_near_copies_do_not_meet(spark, monkeypatch, far):
+    for name, value in (("TOGETHER", 16), ("PIVOTS", 4), ("SAMPLE", 200)):  # the base is among the sample
+        monkeypatch.setattr(jaccard, name, value)
+    draw = random.Random(8)
+    base, sets = list(range(1000, 1060)), {}
+    for i in range(150):  # linked to the base, often not to each other
+        sets[i] = sorted({*(x for x in base if x not in draw.sample(base, 3)), *(draw.randrange(10**9) for _ in range(3))})
+    sets[150] = base
+    for i in range(151, 151 + far):  # some linked to a single copy, some to none
+        sets[i] = sorted({*sets[i - 151][4:], *(draw.randrange(10**9) for _ in range(i % 3 * 4))})
+    met, tiles = [], jaccard._tiles
+
+    def seen(members, percent):
+        out = tiles(members, percent)
+        met.append(members.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_tiles", seen)
+    members = spark.createDataFrame([(1, i, s) for i, s in sets.items()], "region long, doc long, set array<bigint>")
+    got = _links([(e.a, e.b) for e in jaccard.region_links(members, 80).collect()], sets)
+    want = []
+    for i, s in sets.items():
+        want += [(i, j) for j, t in sets.items() if i < j and 100 * len({*s} & {*t}) >= 80 * len({*s} | {*t})]
+    assert got == _links(want, sets)
+    if not far:
+        assert sum(met) == 0
+
+
+def test_blocks_of_settled_documents_meet_only_the_others(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TOGETHER", 8)
+    draw = random.Random(5)
+    pool = [draw.randrange(10**9) for _ in range(12)]
+    sets = [sorted(draw.sample(pool, 9)) for _ in range(60)]
+    rows = [(1, i, s, 60, 0 if i < 50 else None) for i, s in enumerate(sets)]
+    members = spark.createDataFrame(rows, "region long, doc long, set array<bigint>, size long, settled long")
+    edges = {(e.a, e.b) for e in jaccard._tiles(members, 80).collect()}
+    want = [(i, j) for i in range(60) for j in range(max(i + 1, 50), 60) if 100 * len({*sets[i]} & {*sets[j]}) >= 80 * len({*sets[i]} | {*sets[j]})]
+    together = [(0, i) for i in range(50)]
+    assert _links([*edges, *together], range(60)) == _links([*want, *together], range(60))
+    assert jaccard._tiles(members.withColumn("settled", F.lit(0).cast("long")), 80).count() == 0
